@@ -1,0 +1,35 @@
+"""Exact position of every row in a global order, without a single-partition window."""
+
+from __future__ import annotations
+
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lotforge.session import shared_folder
+
+_IN_PARTITION = (1 << 33) - 1
+
+
+def with_position(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Add `posicao` (0-based) following a total order.
+
+    The rows are range-sorted across tasks and checkpointed, which pins the ranges; a row's
+    position is its index in its range plus the sizes of the earlier ranges. Only one count per
+    range, at most the number of shuffle partitions, comes back to the driver and is broadcast.
+    """
+    spark: SparkSession = df.sparkSession
+    shared_folder(spark)
+    ranked = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    ranked = ranked.withColumn("_faixa", F.shiftright("_id", 33))
+    sizes = sorted((r["_faixa"], r["count"]) for r in ranked.groupBy("_faixa").count().collect())
+    starts = [0, *accumulate(size for _, size in sizes)]
+    offsets = spark.createDataFrame(
+        [(part, start) for (part, _), start in zip(sizes, starts)], "_faixa bigint, _inicio bigint"
+    )
+    return (
+        ranked.join(F.broadcast(offsets), "_faixa")
+        .withColumn("posicao", F.col("_inicio") + F.col("_id").bitwiseAND(_IN_PARTITION))
+        .drop("_faixa", "_id", "_inicio")
+    )
