@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,8 @@ from lotforge.plans import marts, quality
 from lotforge.sinks.store import LotStore, TableVersion
 from lotforge.sources.csv_lots import lot_manifest, read_lot
 
+T = TypeVar("T")
+
 RAW, STAGING, MARTS = "raw", "staging", "marts"
 PARENTS_FIRST = (("apostadores", "eventos"), ("apostas", "transacoes"))
 
@@ -66,10 +69,11 @@ class RunReport:
     rows_published: dict[str, int] = field(default_factory=dict)
 
 
-def together(jobs: Mapping[str, Callable[[], TableVersion]]) -> dict[str, TableVersion]:
+def together(spark: SparkSession, jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
     """Run independent writes at the same time, so small ones do not wait for large ones."""
     with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        futures = {name: pool.submit(inheritable_thread_target(job)) for name, job in jobs.items()}
+        attached = inheritable_thread_target(spark)
+        futures = {name: pool.submit(attached(job)) for name, job in jobs.items()}
         return {name: future.result() for name, future in futures.items()}
 
 
@@ -118,7 +122,7 @@ def load_lot(
         table = f"raw_{name}"
         return replace_raw(store, current.get(table), table, rows, lot_date)
 
-    loaded = together({name: lambda n=name: load(n) for name in specs})
+    loaded = together(store.spark, {name: lambda n=name: load(n) for name in specs})
     for name, (_, written, removed) in loaded.items():
         report.rows_loaded[name], report.rows_removed[name] = written, removed
     store.publish(
@@ -144,7 +148,7 @@ def build_staging(
             )
             for name in group
         }
-        built |= together(jobs)
+        built |= together(store.spark, jobs)
         parents |= {n: clean(store.open(built[f"validado_{n}"]), specs[n]) for n in group}
     jobs = {
         f"quarentena_{name}": lambda n=name, s=spec: store.write_lots(
@@ -152,7 +156,7 @@ def build_staging(
         )
         for name, spec in specs.items()
     }
-    return built | together(jobs)
+    return built | together(store.spark, jobs)
 
 
 def clean_relations(
@@ -237,6 +241,7 @@ def build_marts(
     rows = clean_relations(store, staging, specs)
     validated = {n: store.open(staging[f"validado_{n}"]) for n in specs}
     built = together(
+        store.spark,
         {
             "fct_apostas": lambda: merge_fact(
                 store, current.get("fct_apostas"), "fct_apostas",
@@ -255,7 +260,7 @@ def build_marts(
             "agg_qualidade_lote": lambda: store.write_table(
                 "agg_qualidade_lote", quality.batch_quality(validated, specs)
             ),
-        }
+        },
     )
     bets = store.open(built["fct_apostas"])
     cash = store.open(built["fct_transacoes"])
@@ -265,7 +270,8 @@ def build_marts(
         "agg_financeiro_diario": marts.daily_cash(cash),
     }
     return built | together(
-        {name: lambda n=name, d=df: store.write_table(n, d) for name, df in aggregates.items()}
+        store.spark,
+        {name: lambda n=name, d=df: store.write_table(n, d) for name, df in aggregates.items()},
     )
 
 

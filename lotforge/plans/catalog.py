@@ -220,15 +220,8 @@ def _late_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _without_returns(raw: dict[str, DataFrame], lot: dt.date) -> DataFrame:
-    """A regenerated batch: the same rows but for the bets whose stake is not positive."""
-    bets = raw["apostas"]
-    refused = F.col("valor_apostado").startswith("-") | (F.col("valor_apostado") == "0.00")
-    return bets.where((F.col("lote_data") == F.lit(lot)) & ~refused)
-
-
 def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts of all batches, after one batch is regenerated without its pending bets."""
+    """Facts of all batches after one batch was regenerated without its pending bets."""
     raw = raw_relations(spark, sf_dir)
     target = Relations(raw).bet_facts()
     kept = ~((F.col("lote_data") == F.lit(MID_LOT)) & (F.trim("status") == "pendente"))
@@ -262,9 +255,9 @@ def _no_invalid(r: Relations) -> DataFrame:
     return checks.no_invalid_facts(_unchecked_facts(r), r.typed("eventos"))
 
 
-def _drifted(r: Relations) -> DataFrame:
-    """GGR computed over unchecked bets: what the comparison tests must expose."""
-    return marts.daily_ggr(r.bet_facts().where(F.col("status") != "perdida"))
+def _drifted(r: Relations, without: str) -> DataFrame:
+    """GGR computed without one status: a drift the comparison tests must expose."""
+    return marts.daily_ggr(r.bet_facts().where(F.col("status") != without))
 
 
 def _probe(r: Relations) -> DataFrame:
@@ -342,8 +335,10 @@ def core_queries() -> dict[str, Query]:
         "t_fact_unique": _over(lambda r: checks.repeated(r.bet_facts(), "aposta_id")),
         "t_ggr_grain": _over(lambda r: checks.repeated(r.daily_ggr(), "data_aposta", "esporte")),
         "t_ggr_identity": _over(lambda r: checks.ggr_identity(r.daily_ggr())),
-        "t_ggr_status": _over(lambda r: checks.ggr_status(_drifted(r), r.bet_facts())),
-        "t_exposure": _over(lambda r: checks.exposure(r.daily_ggr(), r.bet_facts())),
+        "t_ggr_status": _over(lambda r: checks.ggr_status(_drifted(r, "perdida"), r.bet_facts())),
+        "t_exposure": _over(
+            lambda r: checks.exposure(_drifted(r, "pendente"), r.bet_facts())
+        ),
         "t_volume": _over(
             lambda r: checks.volume(
                 marts.daily_engagement(r.bet_facts().where(marts.settled())), r.bet_facts()

@@ -561,12 +561,10 @@ def core_oracle() -> dict[str, str]:
             " WHERE a.total_apostado <> e.total_apostado"
         ),
         "t_exposure": q(
-            "SELECT a.data_aposta, a.esporte, a.exposicao_pendente AS no_agregado,"
-            " e.v AS recalculado FROM agg_ggr a JOIN (SELECT data_aposta, esporte,"
-            " coalesce(sum(valor_apostado) FILTER (status = 'pendente'), 0) AS v"
-            " FROM fct_apostas GROUP BY 1, 2) e"
-            " ON a.data_aposta = e.data_aposta AND a.esporte = e.esporte"
-            " WHERE a.exposicao_pendente <> e.v"
+            "SELECT data_aposta, esporte, CAST(0 AS DECIMAL(22,2)) AS no_agregado,"
+            " exposicao_pendente AS recalculado FROM agg_ggr g WHERE exposicao_pendente <> 0"
+            " AND EXISTS (SELECT 1 FROM fct_apostas f WHERE f.data_aposta = g.data_aposta"
+            " AND f.esporte = g.esporte AND f.status <> 'pendente')"
         ),
         "t_volume": q(
             "SELECT e.data_aposta, CAST(s.v AS DECIMAL(22,2)) AS no_agregado,"
@@ -675,3 +673,264 @@ def core_oracle() -> dict[str, str]:
         ),
     }
     return texts
+
+
+# --- generator: the same seeded draws in SQL -----------------------------------------------
+
+
+def _word(seed: int, label: str, key: str, number: int) -> str:
+    block, slot = divmod(number, 4)
+    text = f"'{seed}|{label}|{block}|' || CAST({key} AS VARCHAR)"
+    return f"CAST('0x' || substr(md5({text}), {8 * slot + 1}, 8) AS BIGINT)"
+
+
+def _cents(word: str, low: int, high: int, kind: str) -> str:
+    return f"CAST(({word} % {high - low + 1} + {low}) / 100.0 AS DECIMAL({kind}))"
+
+
+def _lists(*values: str) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+_STATES = _lists(*"AC AL AM BA CE DF ES GO MA MG MS MT PA PB PE PR RJ RN RS SC SE SP TO".split())
+_SPORTS = ("futebol", "basquete", "tenis", "volei", "mma")
+_LEAGUES = (
+    ("Brasileirao Serie A", "Copa do Brasil", "Libertadores"),
+    ("NBB", "NBA"),
+    ("ATP Masters", "Roland Garros"),
+    ("Superliga",),
+    ("UFC",),
+)
+_TEAMS = (
+    ("Flamengo", "Palmeiras", "Corinthians", "Sao Paulo", "Gremio", "Internacional",
+     "Atletico-MG", "Fluminense", "Botafogo", "Santos"),
+    ("Franca", "Flamengo Basquete", "Minas", "Pinheiros", "Lakers", "Celtics"),
+    ("Alcaraz", "Djokovic", "Sinner", "Medvedev", "Zverev", "Rune"),
+    ("Sada Cruzeiro", "Praia Clube", "Minas Volei", "Sesi-SP"),
+    ("Lutador A", "Lutador B", "Lutador C", "Lutador D"),
+)
+
+
+def _event_day(key: str, day: str) -> str:
+    return f"(DATE '{day}' + CAST({_word(42, 'evento', key, 0)} % 26 - 10 AS INTEGER))"
+
+
+def _second(word: str, day: str) -> str:
+    return f"(TIMESTAMP '{day} 00:00:00' + to_seconds({word} % 86400))"
+
+
+def _generated(day: str, suffix: str = "") -> str:
+    compact = day.replace("-", "")
+    bet = lambda n: _word(42, "aposta", "o_orderkey", n)
+    event = lambda n: _word(42, "evento", "p_partkey", n)
+    cash = lambda n: _word(42, "transacao", "event_id", n)
+    registered = (
+        f"(DATE '2024-01-01' + CAST({_word(42, 'apostador', 'c_custkey', 0)} % 731 AS INTEGER))"
+    )
+    nested = lambda groups: "[" + ", ".join(_lists(*g) for g in groups) + "]"
+    return f"""
+ger_apostadores{suffix} AS (
+  SELECT 'APT' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS apostador_id,
+         {registered} AS criado_em,
+         {_STATES}[{_word(42, "apostador", "c_custkey", 1)} % 23 + 1] AS estado,
+         CAST({registered} AS TIMESTAMP) AS atualizado_em
+  FROM customer
+),
+ger_eventos{suffix} AS (
+  SELECT 'EVT{compact}' || lpad(CAST(p_partkey AS VARCHAR), 5, '0') AS evento_id,
+         {_lists(*_SPORTS)}[s] AS esporte, ligas[liga % len(ligas) + 1] AS campeonato,
+         times[casa % len(times) + 1] AS time_casa,
+         times[(casa + 1 + passo % (len(times) - 1)) % len(times) + 1] AS time_visitante,
+         {_event_day("p_partkey", day)} AS data_evento, atualizado_em
+  FROM (SELECT *, {nested(_TEAMS)}[s] AS times, {nested(_LEAGUES)}[s] AS ligas
+        FROM (SELECT p_partkey, {event(1)} % 5 + 1 AS s, {event(2)} AS casa, {event(3)} AS passo,
+                     {event(4)} AS liga, {_second(event(5), day)} AS atualizado_em FROM part))
+),
+ger_apostas{suffix} AS (
+  SELECT 'APS{compact}' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') AS aposta_id,
+         'APT' || lpad(CAST(apostador AS VARCHAR), 7, '0') AS apostador_id,
+         'EVT{compact}' || lpad(CAST(evento AS VARCHAR), 5, '0') AS evento_id,
+         least({_event_day("evento", day)}, DATE '{day}') + CAST(antes AS INTEGER) AS data_aposta,
+         valor_apostado, odd, status,
+         CASE WHEN status = 'ganha' THEN CAST(valor_apostado * odd AS DECIMAL(12,2))
+              ELSE CAST(0 AS DECIMAL(12,2)) END AS premio_pago,
+         atualizado_em, evento
+  FROM (SELECT o_orderkey, {bet(0)} % (SELECT count(*) FROM part) AS evento,
+               {bet(1)} % (SELECT count(*) FROM customer) AS apostador,
+               {bet(2)} % 11 - 10 AS antes,
+               {_cents(bet(3), 500, 50000, "12,2")} AS valor_apostado,
+               {_cents(bet(4), 120, 800, "8,2")} AS odd,
+               CASE WHEN {bet(5)} % 100 < 28 THEN 'ganha' WHEN {bet(5)} % 100 < 80 THEN 'perdida'
+                    WHEN {bet(5)} % 100 < 95 THEN 'pendente' ELSE 'cancelada' END AS status,
+               {_second(bet(6), day)} AS atualizado_em
+        FROM orders)
+),
+ger_transacoes{suffix} AS (
+  SELECT 'TRX{compact}' || lpad(CAST(event_id AS VARCHAR), 7, '0') AS transacao_id,
+         'APT' || lpad(CAST({cash(2)} % (SELECT count(*) FROM customer) AS VARCHAR), 7, '0') AS apostador_id,
+         DATE '{day}' AS data_transacao,
+         CASE WHEN {cash(0)} % 2 = 0 THEN 'deposito' ELSE 'saque' END AS tipo,
+         CASE WHEN {cash(0)} % 2 = 0 THEN {_cents(cash(1), 2000, 80000, "12,2")}
+              ELSE {_cents(cash(1), 5000, 150000, "12,2")} END AS valor,
+         {_second(cash(3), day)} AS atualizado_em
+  FROM events
+)"""
+
+
+def _dirtied(day: str, suffix: str = "") -> str:
+    draw = lambda n: _word(43, "defeito", "aposta_id", n)
+    order = "md5('43|defeito|0|' || aposta_id), aposta_id"
+    blank = lambda i: f"pos >= d AND pos < d + n AND {draw(7)} % 5 = {i}"
+    value = (
+        f"CASE WHEN pos >= d + n AND pos < d + n + v THEN CASE WHEN {draw(4)} % 2 = 0"
+        f" THEN CAST(0 AS DECIMAL(12,2)) ELSE -{_cents(draw(5), 100, 30000, '12,2')} END"
+        " ELSE valor_apostado END"
+    )
+    date = (
+        f"CASE WHEN pos >= d + n + v AND pos < d + n + v + t THEN {_event_day('evento', day)}"
+        f" + CAST({draw(6)} % 5 + 1 AS INTEGER) ELSE data_aposta END"
+    )
+    return f"""
+ordenadas{suffix} AS (
+  SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS pos,
+         CAST(floor(total * 0.05) AS BIGINT) AS d, CAST(floor(total * 0.03) AS BIGINT) AS n,
+         CAST(floor(total * 0.02) AS BIGINT) AS v, CAST(floor(total * 0.02) AS BIGINT) AS t
+  FROM ger_apostas{suffix}, (SELECT count(*) AS total FROM orders)
+),
+sujas{suffix} AS (
+  SELECT aposta_id, CASE WHEN {blank(0)} THEN NULL ELSE apostador_id END AS apostador_id,
+         CASE WHEN {blank(1)} THEN NULL ELSE evento_id END AS evento_id,
+         CASE WHEN {blank(2)} THEN NULL ELSE {date} END AS data_aposta,
+         CASE WHEN {blank(3)} THEN NULL ELSE {value} END AS valor_apostado,
+         odd, CASE WHEN {blank(4)} THEN NULL ELSE status END AS status, premio_pago, atualizado_em
+  FROM ordenadas{suffix}
+  UNION ALL
+  SELECT aposta_id, apostador_id, evento_id, data_aposta,
+         CAST(valor_apostado * {_cents(draw(8), 105, 150, "8,2")} AS DECIMAL(12,2)), odd, status,
+         premio_pago, atualizado_em + to_seconds({draw(9)} % 3600 + 1)
+  FROM ordenadas{suffix} WHERE pos < d
+)"""
+
+
+def _resolved_sql(day: str) -> str:
+    draw = lambda n: _word(42, f"resolucao|{day}", "pos", n)
+    return f"""
+pendentes AS (
+  SELECT *, row_number() OVER (ORDER BY aposta_id, valor_apostado, atualizado_em) - 1 AS pos,
+         count(*) OVER () AS total
+  FROM sujas WHERE status = 'pendente' AND apostador_id IS NOT NULL AND evento_id IS NOT NULL
+    AND data_aposta IS NOT NULL AND valor_apostado IS NOT NULL AND odd IS NOT NULL
+),
+resolvidas AS (
+  SELECT aposta_id, apostador_id, evento_id, data_aposta, valor_apostado, odd, novo AS status,
+         CASE WHEN novo = 'ganha' THEN CAST(valor_apostado * odd AS DECIMAL(12,2))
+              ELSE CAST(0 AS DECIMAL(12,2)) END AS premio_pago, marca AS atualizado_em
+  FROM (SELECT *, CASE WHEN {draw(0)} % 100 < 35 THEN 'ganha' ELSE 'perdida' END AS novo,
+               {_second(draw(1), day)} AS marca
+        FROM pendentes WHERE pos < CAST(floor(total * 0.6) AS BIGINT))
+)"""
+
+
+def _text_of(entity: str) -> str:
+    return ", ".join(f"nullif({c}, '') AS {c}" for c in _COLUMNS[entity])
+
+
+def io_oracle() -> dict[str, str]:
+    generated = _generated("2026-02-03")
+    dirty = ",".join([generated, _dirtied("2026-02-03")])
+    resolved = ",".join([dirty, _resolved_sql("2026-02-04")])
+    next_lot = ",".join(
+        [resolved, _generated("2026-02-04", "_2"), _dirtied("2026-02-04", "_2")]
+    )
+    bet_columns = ", ".join(_COLUMNS["apostas"])
+    regenerated = (
+        "SELECT * FROM raw_apostas WHERE lote_data <> DATE '1998-01-01'"
+        " OR NOT (valor_apostado LIKE '-%' OR valor_apostado = '0.00')"
+    )
+    printed = " || chr(2) || ".join(
+        f"coalesce(CAST({c} AS VARCHAR), chr(1))"
+        for c in (
+            "aposta_id apostador_id evento_id data_aposta esporte valor_apostado odd status"
+            " premio_pago resultado_casa atualizado_em lote_data"
+        ).split()
+    )
+    filled = (
+        "aposta_id apostador_id evento_id data_aposta valor_apostado status premio_pago"
+        " atualizado_em"
+    ).split()
+    tables = {
+        "fct_apostas": "fct_apostas", "fct_transacoes": "fct_transacoes",
+        "dim_apostadores": "cln_apostadores", "dim_eventos": "cln_eventos",
+        "agg_ggr_diario_esporte": "agg_ggr", "agg_engajamento_diario": "agg_engajamento",
+        "agg_financeiro_diario": "agg_financeiro",
+    }
+    return {
+        "src_csv_lot": q(
+            f"SELECT {_text_of('apostas')}, TIMESTAMP '2026-02-03 12:00:00' AS carregado_em,"
+            " DATE '2026-02-03' AS lote_data FROM raw_apostas"
+        ),
+        "src_failfast": q(f"SELECT {_text_of('transacoes')} FROM raw_transacoes"),
+        "src_lot_manifest": (
+            "SELECT entidade, TRUE AS presente FROM (VALUES ('apostadores'), ('eventos'),"
+            " ('apostas'), ('transacoes')) v(entidade)"
+        ),
+        "sink_csv": q(
+            "SELECT transacao_id, apostador_id, CAST(data_transacao AS VARCHAR) AS data_transacao,"
+            " tipo, CAST(valor AS VARCHAR) AS valor,"
+            " strftime(atualizado_em, '%Y-%m-%d %H:%M:%S') AS atualizado_em FROM ger_transacoes",
+            generated,
+        ),
+        "sink_fingerprint": q(
+            "SELECT count(*) AS linhas, CAST(sum(CAST('0x' || substr(md5("
+            f"{printed}), 1, 15) AS BIGINT)) AS DECIMAL(38,0)) AS impressao FROM fct_apostas"
+        ),
+        "sink_replace_batch": q(regenerated),
+        "obs_counts": q(
+            "SELECT 'raw_apostas' AS tabela,"
+            f" (SELECT count(*) FROM ({regenerated}) WHERE lote_data = DATE '1998-01-01')"
+            " AS linhas_escritas,"
+            " (SELECT count(*) FROM raw_apostas WHERE lote_data = DATE '1998-01-01')"
+            f" AS linhas_removidas, (SELECT count(*) FROM ({regenerated})) AS linhas_total"
+        ),
+        "gate": q(
+            " UNION ALL ".join(
+                f"SELECT 'not_null {c}' AS teste, count(*) AS linhas FROM tip_apostas"
+                f" WHERE {c} IS NULL"
+                for c in filled
+            )
+            + " UNION ALL SELECT 'accepted_values status', count(*) FROM tip_apostas"
+            " WHERE status NOT IN ('ganha','perdida','pendente','cancelada')"
+            " UNION ALL SELECT 'unique aposta_id', count(*) FROM (SELECT aposta_id"
+            " FROM tip_apostas GROUP BY 1 HAVING count(*) > 1)"
+            " UNION ALL SELECT 'relationships evento_id', count(DISTINCT evento_id)"
+            " FROM tip_apostas WHERE evento_id NOT IN (SELECT evento_id FROM cln_eventos)"
+        ),
+        "gen_profile": (
+            "SELECT n AS apostas, greatest(1, n // 10) AS apostadores,"
+            " greatest(1, n // 60) AS eventos, greatest(1, n // 4) AS transacoes,"
+            " CAST(floor(n * 0.05) AS BIGINT) AS duplicata,"
+            " CAST(floor(n * 0.03) AS BIGINT) AS nulo_obrigatorio,"
+            " CAST(floor(n * 0.02) AS BIGINT) AS valor_nao_positivo,"
+            " CAST(floor(n * 0.02) AS BIGINT) AS data_posterior_ao_evento"
+            " FROM (SELECT count(*) AS n FROM orders)"
+        ),
+        "gen_apostadores": q("SELECT * FROM ger_apostadores", generated),
+        "gen_eventos": q("SELECT * FROM ger_eventos", generated),
+        "gen_apostas": q(f"SELECT {bet_columns} FROM ger_apostas", generated),
+        "gen_transacoes": q("SELECT * FROM ger_transacoes", generated),
+        "gen_defeitos": q("SELECT * FROM sujas", dirty),
+        "gen_pendentes": q("SELECT * FROM resolvidas", resolved),
+        "gen_lote": q("SELECT * FROM sujas_2 UNION ALL SELECT * FROM resolvidas", next_lot),
+        "replay": q(
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS tabela, count(*) AS linhas, TRUE AS igual FROM {relation}"
+                for name, relation in tables.items()
+            )
+            + " UNION ALL SELECT 'agg_qualidade_lote', count(*), TRUE FROM (SELECT DISTINCT"
+            " entidade, motivo FROM quarentena_lote)",
+            FULL + """,
+quarentena_lote AS (
+  SELECT entidade, unnest(string_split(motivos, ',')) AS motivo FROM quarentena
+)""",
+        ),
+    }
