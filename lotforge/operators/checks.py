@@ -181,6 +181,26 @@ def table_check(
     return row.select(F.inline(F.array(*entries)))
 
 
+def drift_counts(
+    published: DataFrame, recomputed: DataFrame, grain: list[str], tests: Mapping[str, str]
+) -> DataFrame:
+    """Several published-versus-recomputed tests from one recomputation: (teste, linhas).
+
+    `tests` maps a test name to the column it compares.
+    """
+    pairs = published.alias("p").join(recomputed.alias("r"), grain, "inner")
+    row = pairs.agg(
+        *(
+            F.count_if(F.col(f"p.{column}") != F.col(f"r.{column}")).alias(name)
+            for name, column in tests.items()
+        )
+    )
+    entries = [
+        F.struct(F.lit(name).alias("teste"), F.col(f"`{name}`").alias("linhas")) for name in tests
+    ]
+    return row.select(F.inline(F.array(*entries)))
+
+
 def violation_count(name: str, violations: DataFrame) -> DataFrame:
     return violations.agg(F.count("*").alias("linhas")).select(
         F.lit(name).alias("teste"), "linhas"

@@ -36,7 +36,13 @@ def validate(raw: DataFrame, spec: EntitySpec, parents: Mapping[str, DataFrame])
     `parents` maps an entity name to its *clean* rows, so that a rejected parent rejects its
     children.
     """
-    typed = type_rows(raw, spec)
+    return validate_typed(type_rows(raw, spec), spec, parents)
+
+
+def validate_typed(
+    typed: DataFrame, spec: EntitySpec, parents: Mapping[str, DataFrame]
+) -> DataFrame:
+    """`validate` for typed rows; they must include every version of each key they hold."""
     rows = typed
     for link in spec.parents:
         rows = lookup(rows, parents[link.entity], link)

@@ -31,6 +31,7 @@ from lotforge.operators.checks import Domain, table_check, violation_count
 from lotforge.operators.merge import merge_by_key, touched_lots
 from lotforge.operators.validate import clean, quarantine, union_all, validate
 from lotforge.plans import marts, quality
+from lotforge.plans.restage import Restaged, restage
 from lotforge.sinks.store import LotStore, TableVersion
 from lotforge.sources.csv_lots import lot_manifest, read_lot
 
@@ -133,30 +134,59 @@ def load_lot(
 # --- staging -------------------------------------------------------------------------------
 
 
+def _in_lots(df: DataFrame, lots: set[str] | None) -> DataFrame:
+    """The rows of some batch dates; a literal list, so that partitions are pruned."""
+    if lots is None:
+        return df
+    return df.where(F.col("lote_data").isin([dt.date.fromisoformat(lot) for lot in sorted(lots)]))
+
+
 def build_staging(
-    store: LotStore, run_at: dt.datetime, specs: Mapping[str, EntitySpec] = ENTITIES
+    store: LotStore,
+    run_at: dt.datetime,
+    lot_date: dt.date,
+    specs: Mapping[str, EntitySpec] = ENTITIES,
+    rebuild: bool = False,
 ) -> dict[str, TableVersion]:
-    """Write each entity's validated rows once, parents first, and its quarantine from them."""
-    raw = store.state(RAW)
+    """Validate each entity once, parents first, and write its quarantine from the result.
+
+    Only what the batch can have changed is validated again, unless `rebuild` is set or nothing
+    was staged before; the outcome is the same.
+    """
+    raw, staged = store.state(RAW), {} if rebuild else store.state(STAGING)
     rejected_at = F.lit(run_at).cast("timestamp_ntz")
-    built: dict[str, TableVersion] = {}
     parents: dict[str, DataFrame] = {}
+    changes: dict[str, DataFrame] = {}
+    done: dict[str, Restaged] = {}
+
+    def validated(name: str) -> Restaged:
+        version, old = raw[f"raw_{name}"], staged.get(f"validado_{name}")
+        if old is None:
+            rows = validate(store.open(version), specs[name], parents)
+            return Restaged(store.write_lots(f"validado_{name}", rows), None, None)
+        return restage(store, specs[name], version, old, lot_date, parents, changes)
+
     for group in PARENTS_FIRST:
-        jobs = {
-            f"validado_{name}": lambda n=name: store.write_lots(
-                f"validado_{n}", validate(store.open(raw[f"raw_{n}"]), specs[n], parents)
-            )
-            for name in group
-        }
-        built |= together(store.spark, jobs)
-        parents |= {n: clean(store.open(built[f"validado_{n}"]), specs[n]) for n in group}
-    jobs = {
-        f"quarentena_{name}": lambda n=name, s=spec: store.write_lots(
-            f"quarentena_{n}", quarantine(store.open(built[f"validado_{n}"]), s, rejected_at)
-        )
-        for name, spec in specs.items()
+        done |= together(store.spark, {name: lambda n=name: validated(n) for name in group})
+        parents |= {n: clean(store.open(done[n].version), specs[n]) for n in group}
+        changes |= {n: done[n].changed for n in group if done[n].changed is not None}
+
+    def rejected(name: str) -> TableVersion:
+        table, lots = f"quarentena_{name}", done[name].rewritten
+        rows = _in_lots(store.open(done[name].version), lots)
+        written = store.write_lots(table, quarantine(rows, specs[name], rejected_at))
+        return written if lots is None else store.replace_lots(staged.get(table), written, lots)
+
+    tables = {f"validado_{name}": result.version for name, result in done.items()}
+    tables |= {
+        f"quarentena_{name}": version
+        for name, version in together(
+            store.spark, {name: lambda n=name: rejected(n) for name in specs}
+        ).items()
     }
-    return built | together(store.spark, jobs)
+    for result in done.values():
+        result.release()
+    return tables
 
 
 def clean_relations(
@@ -213,22 +243,80 @@ def merge_fact(
     facts: DataFrame,
     key: str,
     lot_date: dt.date,
-) -> TableVersion:
-    """The fact after this batch. The first run takes all facts; later runs only this batch's.
+) -> tuple[TableVersion, set[str] | None]:
+    """The fact after this batch, and the batch dates rewritten (None: all).
 
-    Rewritten are this batch and those earlier ones that hold a key the batch brings again; every
-    other batch keeps its stored files. Rows of this batch that are gone from it vanish with its
-    old partition.
+    The first run takes all facts; later runs only this batch's. Rewritten are this batch and
+    those earlier ones that hold a key the batch brings again; every other batch keeps its stored
+    files. Rows of this batch that are gone from it vanish with its old partition.
     """
     if current is None:
-        return store.write_lots(table, facts)
-    day = lot_date.isoformat()
+        return store.write_lots(table, facts), None
     updates = facts.where(F.col("lote_data") == F.lit(lot_date))
     others = store.open(current).where(F.col("lote_data") != F.lit(lot_date))
     touched = [row["lote_data"] for row in touched_lots(others, updates, key).collect()]
     rewritten = merge_by_key(others.where(F.col("lote_data").isin(touched)), updates, key)
-    written = store.write_lots(table, rewritten)
-    return store.replace_lots(current, written, {day, *(t.isoformat() for t in touched)})
+    lots = {lot_date.isoformat(), *(lot.isoformat() for lot in touched)}
+    return store.replace_lots(current, store.write_lots(table, rewritten), lots), lots
+
+
+def restate_days(
+    store: LotStore,
+    current: TableVersion | None,
+    table: str,
+    day_column: str,
+    aggregate: Callable[[DataFrame], DataFrame],
+    fact_before: TableVersion | None,
+    fact_after: TableVersion,
+    rewritten: set[str] | None,
+) -> TableVersion:
+    """A daily aggregate recomputed for the days that the rewritten fact batches hold.
+
+    Other days keep their published rows. The aggregate is a function of the fact alone, so a day
+    without a rewritten row cannot have changed. At most the dates of those batches reach the
+    driver.
+    """
+    facts = store.open(fact_after)
+    if current is None or fact_before is None or rewritten is None:
+        return store.write_table(table, aggregate(facts))
+    held = [
+        _in_lots(store.open(version), rewritten).select(day_column)
+        for version in (fact_before, fact_after)
+    ]
+    days = [row[0] for row in union_all(held).distinct().collect()]
+    affected = F.col(day_column).isin(days)
+    kept = store.open(current).where(~affected)
+    return store.write_table(table, kept.unionByName(aggregate(facts.where(affected))))
+
+
+def lots_that_differ(
+    before: Mapping[str, TableVersion], after: Mapping[str, TableVersion]
+) -> set[str]:
+    """Batch dates of any table whose stored files are not the same in both states."""
+    differing: set[str] = set()
+    for name, version in after.items():
+        old = before[name].folders if name in before else {}
+        differing |= {lot for lot in {*old, *version.folders}
+                      if old.get(lot) != version.folders.get(lot)}
+    return differing
+
+
+def restate_quality(
+    store: LotStore,
+    current: Mapping[str, TableVersion],
+    validated: Mapping[str, TableVersion],
+    specs: Mapping[str, EntitySpec],
+) -> TableVersion:
+    """Quality rows of the batches validated anew since the published marts; others are kept.
+
+    The validated tables that the published marts were built from are part of their state, so a
+    run that failed in between is caught up.
+    """
+    table = "agg_qualidade_lote"
+    lots = lots_that_differ(current, validated) if table in current else None
+    rows = {n: _in_lots(store.open(validated[f"validado_{n}"]), lots) for n in specs}
+    written = store.write_lots(table, quality.batch_quality(rows, specs))
+    return written if lots is None else store.replace_lots(current[table], written, lots)
 
 
 def build_marts(
@@ -237,42 +325,56 @@ def build_marts(
     lot_date: dt.date,
     specs: Mapping[str, EntitySpec] = ENTITIES,
 ) -> dict[str, TableVersion]:
+    """The marts after this batch, with the validated tables they were built from."""
     current = store.state(MARTS)
     rows = clean_relations(store, staging, specs)
-    validated = {n: store.open(staging[f"validado_{n}"]) for n in specs}
-    built = together(
+    validated = {f"validado_{name}": staging[f"validado_{name}"] for name in specs}
+
+    def fact(table: str, facts: DataFrame, key: str):
+        return merge_fact(store, current.get(table), table, facts, key, lot_date)
+
+    facts = together(
         store.spark,
         {
-            "fct_apostas": lambda: merge_fact(
-                store, current.get("fct_apostas"), "fct_apostas",
-                marts.bet_facts(rows["apostas"]), BETS.key, lot_date,
+            "fct_apostas": lambda: fact(
+                "fct_apostas", marts.bet_facts(rows["apostas"]), BETS.key
             ),
-            "fct_transacoes": lambda: merge_fact(
-                store, current.get("fct_transacoes"), "fct_transacoes",
-                marts.transaction_facts(rows["transacoes"]), TRANSACTIONS.key, lot_date,
+            "fct_transacoes": lambda: fact(
+                "fct_transacoes", marts.transaction_facts(rows["transacoes"]), TRANSACTIONS.key
             ),
+        },
+    )
+
+    def daily(table: str, day: str, aggregate: Callable[[DataFrame], DataFrame], source: str):
+        after, lots = facts[source]
+        return restate_days(
+            store, current.get(table), table, day, aggregate, current.get(source), after, lots
+        )
+
+    built = together(
+        store.spark,
+        {
             "dim_apostadores": lambda: store.write_table(
                 "dim_apostadores", marts.dim_bettors(rows["apostadores"], rows["apostas"])
             ),
             "dim_eventos": lambda: store.write_table(
                 "dim_eventos", marts.dim_events(rows["eventos"])
             ),
-            "agg_qualidade_lote": lambda: store.write_table(
-                "agg_qualidade_lote", quality.batch_quality(validated, specs)
+            "agg_qualidade_lote": lambda: restate_quality(
+                store, current, validated, specs
+            ),
+            "agg_ggr_diario_esporte": lambda: daily(
+                "agg_ggr_diario_esporte", "data_aposta", marts.daily_ggr, "fct_apostas"
+            ),
+            "agg_engajamento_diario": lambda: daily(
+                "agg_engajamento_diario", "data_aposta", marts.daily_engagement, "fct_apostas"
+            ),
+            "agg_financeiro_diario": lambda: daily(
+                "agg_financeiro_diario", "data_transacao", marts.daily_cash, "fct_transacoes"
             ),
         },
-    )
-    bets = store.open(built["fct_apostas"])
-    cash = store.open(built["fct_transacoes"])
-    aggregates = {
-        "agg_ggr_diario_esporte": marts.daily_ggr(bets),
-        "agg_engajamento_diario": marts.daily_engagement(bets),
-        "agg_financeiro_diario": marts.daily_cash(cash),
-    }
-    return built | together(
-        store.spark,
-        {name: lambda n=name, d=df: store.write_table(n, d) for name, df in aggregates.items()},
     )
+    return validated | {name: version for name, (version, _) in facts.items()} | built
 
 
 def mart_checks(
@@ -315,10 +417,6 @@ def mart_checks(
     singular = {
         "ggr grain": checks.repeated(ggr, "data_aposta", "esporte"),
         "ggr identity": checks.ggr_identity(ggr),
-        "ggr status": checks.ggr_status(ggr, bets),
-        "exposure": checks.exposure(ggr, bets),
-        "engagement volume": checks.volume(engagement, bets),
-        "active bettors": checks.active_bettors(engagement, bets),
         "mean ticket": checks.mean_ticket(engagement),
         "net identity": checks.net_identity(cash),
         "invalid facts": checks.no_invalid_facts(bets, t["dim_eventos"]),
@@ -326,6 +424,14 @@ def mart_checks(
         "received balance": checks.received_balance(quality_mart),
     }
     found += [
+        checks.drift_counts(
+            ggr, marts.daily_ggr(bets), ["data_aposta", "esporte"],
+            {"ggr status": "total_apostado", "exposure": "exposicao_pendente"},
+        ),
+        checks.drift_counts(
+            engagement, marts.daily_engagement(bets), ["data_aposta"],
+            {"engagement volume": "volume_apostado", "active bettors": "apostadores_ativos"},
+        ),
         _link_check("fct_apostas", bets, "apostador_id", t["dim_apostadores"]),
         _link_check("fct_apostas", bets, "evento_id", t["dim_eventos"]),
     ]
@@ -342,17 +448,19 @@ def run_batch(
     run_at: dt.datetime,
     store: LotStore,
     specs: Mapping[str, EntitySpec] = ENTITIES,
+    rebuild: bool = False,
 ) -> RunReport:
     """Process one dated lot. Nothing of a layer is visible until its tests pass.
 
     RAW stays loaded when a later step fails; running the same lot again changes no number.
+    `rebuild` validates all history again instead of only what the lot can have changed.
     """
     report = RunReport(lot_date, uuid.uuid4().hex)
     with logged(store, "lote_carregado", lote_data=lot_date, execucao=report.run_id) as event:
         load_lot(store, lots_root, lot_date, run_at, report, specs)
         event |= {"linhas_escritas": report.rows_loaded, "linhas_removidas": report.rows_removed}
     with logged(store, "staging_construido", lote_data=lot_date, execucao=report.run_id) as event:
-        staging = build_staging(store, run_at, specs)
+        staging = build_staging(store, run_at, lot_date, specs, rebuild)
         checks.gate(staging_checks(store, staging, specs))
         store.publish(STAGING, staging, report.run_id, run_at)
         event["linhas"] = {name: v.total_rows for name, v in staging.items()}
@@ -360,6 +468,6 @@ def run_batch(
         built = build_marts(store, staging, lot_date, specs)
         checks.gate(mart_checks(store, built, specs))
         store.publish(MARTS, built, report.run_id, run_at)
-        report.rows_published = {name: v.total_rows for name, v in built.items()}
+        report.rows_published = {n: v.total_rows for n, v in built.items() if n not in staging}
         event["linhas"] = report.rows_published
     return report

@@ -43,7 +43,33 @@ def _failfast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lot_of(spark, sf_dir, "eventos").select("evento_id", "arquivo_origem", "linha_origem")
+    """Whether the line numbers lead back to the right line of each file.
+
+    The files are sorted by the key, so numbers must run from 2 without gaps and the first and
+    last numbered records must hold the smallest and the largest key.
+    """
+    per_file = (
+        _lot_of(spark, sf_dir, "eventos")
+        .groupBy("arquivo_origem")
+        .agg(
+            F.count("*").alias("n"),
+            F.count_distinct("linha_origem").alias("d"),
+            F.min("linha_origem").alias("primeira"),
+            F.max("linha_origem").alias("ultima"),
+            (F.min_by("evento_id", "linha_origem") == F.min("evento_id")).alias("inicio"),
+            (F.max_by("evento_id", "linha_origem") == F.max("evento_id")).alias("fim"),
+        )
+    )
+    exact = (
+        (F.col("primeira") == 2)
+        & (F.col("ultima") == F.col("n") + 1)
+        & (F.col("d") == F.col("n"))
+        & F.col("inicio")
+        & F.col("fim")
+    )
+    return per_file.agg(
+        F.sum("n").alias("linhas"), F.bool_and(exact).alias("numeracao_exata")
+    )
 
 
 def _write_all(spark: SparkSession, sf_dir: str) -> str:
@@ -128,6 +154,7 @@ def _replay(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(name).alias("tabela"), "linhas", "impressao"
                 )
                 for name, v in state.items()
+                if not name.startswith("validado_")
             ]
         )
 

@@ -870,6 +870,7 @@ def io_oracle() -> dict[str, str]:
             " DATE '2026-02-03' AS lote_data FROM raw_apostas"
         ),
         "src_failfast": q(f"SELECT {_text_of('transacoes')} FROM raw_transacoes"),
+        "src_provenance": "SELECT count(*) AS linhas, TRUE AS numeracao_exata FROM orders",
         "src_lot_manifest": (
             "SELECT entidade, TRUE AS presente FROM (VALUES ('apostadores'), ('eventos'),"
             " ('apostas'), ('transacoes')) v(entidade)"
