@@ -134,13 +134,6 @@ def load_lot(
 # --- staging -------------------------------------------------------------------------------
 
 
-def _in_lots(df: DataFrame, lots: set[str] | None) -> DataFrame:
-    """The rows of some batch dates; a literal list, so that partitions are pruned."""
-    if lots is None:
-        return df
-    return df.where(F.col("lote_data").isin([dt.date.fromisoformat(lot) for lot in sorted(lots)]))
-
-
 def build_staging(
     store: LotStore,
     run_at: dt.datetime,
@@ -163,7 +156,7 @@ def build_staging(
         version, old = raw[f"raw_{name}"], staged.get(f"validado_{name}")
         if old is None:
             rows = validate(store.open(version), specs[name], parents)
-            return Restaged(store.write_lots(f"validado_{name}", rows), None, None)
+            return Restaged(store.write_lots(f"validado_{name}", rows, True), None, None)
         return restage(store, specs[name], version, old, lot_date, parents, changes)
 
     for group in PARENTS_FIRST:
@@ -173,7 +166,7 @@ def build_staging(
 
     def rejected(name: str) -> TableVersion:
         table, lots = f"quarentena_{name}", done[name].rewritten
-        rows = _in_lots(store.open(done[name].version), lots)
+        rows = store.open(done[name].version, lots)
         written = store.write_lots(table, quarantine(rows, specs[name], rejected_at))
         return written if lots is None else store.replace_lots(staged.get(table), written, lots)
 
@@ -251,12 +244,15 @@ def merge_fact(
     files. Rows of this batch that are gone from it vanish with its old partition.
     """
     if current is None:
-        return store.write_lots(table, facts), None
+        return store.write_lots(table, facts, True), None
     updates = facts.where(F.col("lote_data") == F.lit(lot_date))
-    others = store.open(current).where(F.col("lote_data") != F.lit(lot_date))
-    touched = [row["lote_data"] for row in touched_lots(others, updates, key).collect()]
-    rewritten = merge_by_key(others.where(F.col("lote_data").isin(touched)), updates, key)
-    lots = {lot_date.isoformat(), *(lot.isoformat() for lot in touched)}
+    day = lot_date.isoformat()
+    others = store.open(current, current.folders.keys() - {day})
+    touched = {
+        row["lote_data"].isoformat() for row in touched_lots(others, updates, key).collect()
+    }
+    rewritten = merge_by_key(store.open(current, touched), updates, key)
+    lots = {day, *touched}
     return store.replace_lots(current, store.write_lots(table, rewritten), lots), lots
 
 
@@ -280,7 +276,7 @@ def restate_days(
     if current is None or fact_before is None or rewritten is None:
         return store.write_table(table, aggregate(facts))
     held = [
-        _in_lots(store.open(version), rewritten).select(day_column)
+        store.open(version, rewritten).select(day_column)
         for version in (fact_before, fact_after)
     ]
     days = [row[0] for row in union_all(held).distinct().collect()]
@@ -314,7 +310,7 @@ def restate_quality(
     """
     table = "agg_qualidade_lote"
     lots = lots_that_differ(current, validated) if table in current else None
-    rows = {n: _in_lots(store.open(validated[f"validado_{n}"]), lots) for n in specs}
+    rows = {n: store.open(validated[f"validado_{n}"], lots) for n in specs}
     written = store.write_lots(table, quality.batch_quality(rows, specs))
     return written if lots is None else store.replace_lots(current[table], written, lots)
 
@@ -467,7 +463,7 @@ def run_batch(
     with logged(store, "marts_publicados", lote_data=lot_date, execucao=report.run_id) as event:
         built = build_marts(store, staging, lot_date, specs)
         checks.gate(mart_checks(store, built, specs))
-        store.publish(MARTS, built, report.run_id, run_at)
+        store.publish(MARTS, built, report.run_id, run_at, marts.NOTES)
         report.rows_published = {n: v.total_rows for n, v in built.items() if n not in staging}
         event["linhas"] = report.rows_published
     return report

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -70,13 +70,25 @@ class LotStore:
             for name, entry in self._newest(layer)[1].items()
         }
 
-    def open(self, version: TableVersion) -> DataFrame:
-        if not version.folders:
-            return self.spark.createDataFrame([], version.schema)
+    def note(self, layer: str, table: str) -> str:
+        return self._newest(layer)[1][table].get("note", "")
+
+    def open(self, version: TableVersion, lots: Collection[str] | None = None) -> DataFrame:
+        """The rows of a table, of some batch dates only when `lots` is given.
+
+        Folders of other batches are not even listed.
+        """
+        folders = {
+            folder for lot, folder in version.folders.items() if lots is None or lot in lots
+        }
+        if not folders:
+            return self.spark.range(0).select(
+                *(F.lit(None).cast(f.dataType).alias(f.name) for f in version.schema)
+            )
         return (
             self.spark.read.schema(version.schema)
             .option("basePath", f"{self.root}/{version.name}")
-            .parquet(*sorted(set(version.folders.values())))
+            .parquet(*sorted(folders))
             .select(*version.schema.names)
         )
 
@@ -94,10 +106,15 @@ class LotStore:
         df.observe(counted, F.count("*").alias("linhas")).write.parquet(folder)
         return TableVersion(table, df.schema, {"": folder}, {"": counted.get["linhas"]})
 
-    def write_lots(self, table: str, df: DataFrame) -> TableVersion:
-        """New folders for every batch date in `df`; batches without rows get none."""
+    def write_lots(self, table: str, df: DataFrame, many_lots: bool = False) -> TableVersion:
+        """New folders for every batch date in `df`; batches without rows get none.
+
+        With `many_lots`, rows are first gathered by batch so that tasks do not each write a small
+        file per batch; adaptive execution splits a large batch over several tasks.
+        """
         folder = self._folder(table)
-        df.write.partitionBy("lote_data").parquet(folder)
+        rows = df.hint("rebalance", F.col("lote_data")) if many_lots else df
+        rows.write.partitionBy("lote_data").parquet(folder)
         written = self.spark.read.schema(df.schema).parquet(folder)
         rows = {
             row["lote_data"].isoformat(): row["count"]
@@ -124,30 +141,42 @@ class LotStore:
         )
 
     def publish(
-        self, layer: str, versions: Mapping[str, TableVersion], run_id: str, at: dt.datetime
+        self,
+        layer: str,
+        versions: Mapping[str, TableVersion],
+        run_id: str,
+        at: dt.datetime,
+        notes: Mapping[str, str] | None = None,
     ) -> None:
-        """Make the given versions visible together; other tables of the layer stay as they are."""
+        """Make the given versions visible together; other tables of the layer stay as they are.
+
+        `notes` are table comments: what a published number includes and leaves out.
+        """
         sequence, entries = self._newest(layer)
         entries = entries | {
             name: {
                 "schema": v.schema.jsonValue(),
                 "folders": dict(v.folders),
                 "rows": dict(v.rows),
+                "note": (notes or {}).get(name, ""),
             }
             for name, v in versions.items()
         }
-        record = [(sequence + 1, layer, run_id, at, json.dumps(entries))]
-        self.spark.createDataFrame(record, _LOG).coalesce(1).write.mode("append").json(
-            f"{self.root}/_publicacoes"
+        record = self.spark.range(1).select(
+            F.lit(sequence + 1).cast("bigint").alias("sequencia"),
+            F.lit(layer).alias("camada"),
+            F.lit(run_id).alias("execucao"),
+            F.lit(at).cast("timestamp_ntz").alias("publicado_em"),
+            F.lit(json.dumps(entries)).alias("estado"),
         )
+        record.coalesce(1).write.mode("append").json(f"{self.root}/_publicacoes")
 
     # --- run log ---------------------------------------------------------------------------
 
     def append_event(self, event: dict) -> None:
-        row = [(json.dumps(event, default=str, ensure_ascii=False),)]
-        self.spark.createDataFrame(row, "value string").coalesce(1).write.mode("append").text(
-            f"{self.root}/_eventos"
-        )
+        text = F.lit(json.dumps(event, default=str, ensure_ascii=False))
+        row = self.spark.range(1).select(text.alias("value"))
+        row.coalesce(1).write.mode("append").text(f"{self.root}/_eventos")
 
     def events(self) -> DataFrame:
         """The run log, one JSON object per row in column `value`."""

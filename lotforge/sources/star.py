@@ -29,6 +29,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a table with fewer splits than cores, spread by key; larger tables as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def _text(column: Column) -> Column:
     return column.cast("string")
 
@@ -113,7 +119,7 @@ def raw_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.substring(day, 1, 4)),
     ).otherwise(day)
     return (
-        read_table(spark, sf_dir, "lineitem")
+        _spread(read_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
         .select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("aposta_id"),
             F.when(F.col("l_tax") == 0, F.lit("")).otherwise(_text(F.col("l_partkey")))
