@@ -37,14 +37,15 @@ def mark_superseded(rows: DataFrame, typed: DataFrame, spec: EntitySpec) -> Data
     """Every row with a flag telling whether another version of its key wins.
 
     The winners are found on the ordering columns alone and joined back on the row identity,
-    which spreads evenly however skewed the business key is.
+    which spreads evenly however skewed the business key is. They are nearly as many as the rows,
+    hence a sort-merge join whatever their compressed size.
     """
     needed = dict.fromkeys([spec.key, *spec.newest_first, *ROW_IDENTITY])
     winners = canonical_rows(typed.select(*needed), spec).select(
         *ROW_IDENTITY, F.lit(True).alias("_vence")
     )
     return (
-        rows.join(winners, list(ROW_IDENTITY), "left")
+        rows.join(winners.hint("merge"), list(ROW_IDENTITY), "left")
         .withColumn(SUPERSEDED, F.col("_vence").isNull())
         .drop("_vence")
     )

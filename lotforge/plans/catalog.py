@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import ChainMap
 from collections.abc import Callable
 from functools import reduce
 
@@ -24,7 +25,7 @@ from lotforge.operators.canonical import mark_superseded
 from lotforge.operators.lookup import lookup
 from lotforge.plans import consumer, marts, quality
 from lotforge.plans.relations import Relations
-from lotforge.sources.star import raw_relations
+from lotforge.sources.star import RawRelations
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,7 +39,7 @@ def _rejected_at() -> Column:
 
 
 def _relations(spark: SparkSession, sf_dir: str) -> Relations:
-    return Relations(raw_relations(spark, sf_dir))
+    return Relations(RawRelations(spark, sf_dir))
 
 
 def _joined(column: str = "motivos") -> Column:
@@ -191,9 +192,9 @@ def _avg(r: Relations) -> DataFrame:
 
 def _facts_through(spark: SparkSession, sf_dir: str, before: dt.date) -> DataFrame:
     """Bet facts as they stood when only the batches before a date had arrived."""
-    raw = raw_relations(spark, sf_dir)
-    raw["apostas"] = raw["apostas"].where(F.col("lote_data") < F.lit(before))
-    return Relations(raw).bet_facts()
+    raw = RawRelations(spark, sf_dir)
+    arrived = raw["apostas"].where(F.col("lote_data") < F.lit(before))
+    return Relations(ChainMap({"apostas": arrived}, raw)).bet_facts()
 
 
 def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,11 +223,11 @@ def _late_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts of all batches after one batch was regenerated without its pending bets."""
-    raw = raw_relations(spark, sf_dir)
+    raw = RawRelations(spark, sf_dir)
     target = Relations(raw).bet_facts()
     kept = ~((F.col("lote_data") == F.lit(MID_LOT)) & (F.trim("status") == "pendente"))
-    regenerated = {**raw, "apostas": raw["apostas"].where(kept)}
-    source = Relations(regenerated).clean("apostas")
+    regenerated = raw["apostas"].where(kept)
+    source = Relations(ChainMap({"apostas": regenerated}, raw)).clean("apostas")
     return merge.delete_orphans(target, source, "aposta_id", MID_LOT)
 
 

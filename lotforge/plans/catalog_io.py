@@ -17,7 +17,7 @@ from lotforge.session import scratch_path
 from lotforge.sinks.csv_lots import fingerprint, write_entity, write_text
 from lotforge.sinks.store import LotStore
 from lotforge.sources.csv_lots import lot_files, lot_manifest, read_lot
-from lotforge.sources.star import RAW_READERS, raw_relations, read_table
+from lotforge.sources.star import RAW_READERS, RawRelations, read_table
 
 LOT = dt.date(2026, 2, 3)
 NEXT_LOT = dt.date(2026, 2, 4)
@@ -74,7 +74,7 @@ def _provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_all(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "lots")
-    for name, rows in raw_relations(spark, sf_dir).items():
+    for name, rows in RawRelations(spark, sf_dir).items():
         write_text(rows, ENTITIES[name], LOT, root)
     return root
 
@@ -117,12 +117,12 @@ def _load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint(Relations(raw_relations(spark, sf_dir)).bet_facts())
+    return fingerprint(Relations(RawRelations(spark, sf_dir)).bet_facts())
 
 
 def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Violation counts the gate would raise on, over typed bets that were not validated."""
-    r = Relations(raw_relations(spark, sf_dir))
+    r = Relations(RawRelations(spark, sf_dir))
     bets = r.typed("apostas")
     missing = checks.relationships(bets, "evento_id", r.clean("eventos"), "evento_id")
     return union_all(

@@ -19,7 +19,7 @@ from lotforge.plans import marts, quality
 
 class Relations:
     def __init__(self, raw: Mapping[str, DataFrame]) -> None:
-        self.raw = dict(raw)
+        self.raw = raw
         self.clean = cache(self._clean)
 
     def typed(self, entity: str) -> DataFrame:

@@ -171,6 +171,22 @@ class LotStore:
         )
         record.coalesce(1).write.mode("append").json(f"{self.root}/_publicacoes")
 
+    def superseded_folders(self, keep: int) -> list[str]:
+        """Folders no longer named by any layer's last `keep` publications, safe to delete.
+
+        Found in the publication log alone; nothing is listed or removed here.
+        """
+        live: set[str] = set()
+        older: set[str] = set()
+        by_layer: dict[str, list] = {}
+        for row in self._log().orderBy(F.desc("sequencia")).toLocalIterator():
+            by_layer.setdefault(row["camada"], []).append(row)
+        for rows in by_layer.values():
+            for position, row in enumerate(rows):
+                named = {f for e in json.loads(row["estado"]).values() for f in e["folders"].values()}
+                (live if position < keep else older).update(named)
+        return sorted(older - live)
+
     # --- run log ---------------------------------------------------------------------------
 
     def append_event(self, event: dict) -> None:

@@ -7,6 +7,9 @@ dates, parts beyond the customer range) act as defects; a few more are induced b
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -173,5 +176,17 @@ RAW_READERS = {
 }
 
 
-def raw_relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: read(spark, sf_dir) for name, read in RAW_READERS.items()}
+class RawRelations(Mapping[str, DataFrame]):
+    """The four RAW relations, each read when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._read = cache(lambda name: RAW_READERS[name](spark, sf_dir))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._read(name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(RAW_READERS)
+
+    def __len__(self) -> int:
+        return len(RAW_READERS)

@@ -273,3 +273,6 @@ def test_merge_rewrites_only_touched_batches(world):
     assert NEXT.isoformat() not in now and third.isoformat() in now
     staged = world.store.state(STAGING)["validado_apostas"].folders
     assert len({f.split("/run=")[1].split("/")[0] for f in staged.values()}) > 1
+    gone = world.store.superseded_folders(keep=1)
+    assert folders[NEXT.isoformat()] in gone and folders[LOT.isoformat()] not in gone
+    assert not set(gone) & set(now.values()) and not set(gone) & set(staged.values())
