@@ -17,13 +17,11 @@ from pyspark.sql import functions as F
 
 from lotforge.model import (
     BET_STATUSES,
-    BETS,
     ENTITIES,
     NO_REJECTION,
     REASONS,
     SPORTS,
     TRANSACTION_KINDS,
-    TRANSACTIONS,
     EntitySpec,
 )
 from lotforge.operators import checks
@@ -31,7 +29,7 @@ from lotforge.operators.checks import Domain, table_check, violation_count
 from lotforge.operators.merge import merge_by_key, touched_lots
 from lotforge.operators.validate import clean, quarantine, union_all, validate
 from lotforge.plans import marts, quality
-from lotforge.plans.restage import Restaged, restage
+from lotforge.plans.restage import Restaged, changed_parents, restage
 from lotforge.sinks.store import LotStore, TableVersion
 from lotforge.sources.csv_lots import lot_manifest, read_lot
 
@@ -134,13 +132,25 @@ def load_lot(
 # --- staging -------------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Staged:
+    """The staging tables and how each validated one came about."""
+
+    tables: dict[str, TableVersion]
+    runs: dict[str, Restaged]
+
+    def release(self) -> None:
+        for run in self.runs.values():
+            run.release()
+
+
 def build_staging(
     store: LotStore,
     run_at: dt.datetime,
     lot_date: dt.date,
     specs: Mapping[str, EntitySpec] = ENTITIES,
     rebuild: bool = False,
-) -> dict[str, TableVersion]:
+) -> Staged:
     """Validate each entity once, parents first, and write its quarantine from the result.
 
     Only what the batch can have changed is validated again, unless `rebuild` is set or nothing
@@ -177,9 +187,7 @@ def build_staging(
             store.spark, {name: lambda n=name: rejected(n) for name in specs}
         ).items()
     }
-    for result in done.values():
-        result.release()
-    return tables
+    return Staged(tables, done)
 
 
 def clean_relations(
@@ -198,32 +206,81 @@ def _named(name: str, counts: DataFrame) -> DataFrame:
     return counts.withColumn("teste", F.concat(F.lit(f"{name} "), "teste"))
 
 
-def _key_check(name: str, df: DataFrame, key: str) -> DataFrame:
-    return violation_count(f"{name} unique {key}", checks.unique(df, key))
+@dataclass(frozen=True)
+class Scope:
+    """The rows of a table that a gate has to look at.
+
+    `fresh` are the rows of the batches written by this run, `others` those of batches whose files
+    are unchanged and passed the gate before (None when every batch was written). Rows among the
+    others need a second look only where what they refer to has changed.
+    """
+
+    fresh: DataFrame
+    others: DataFrame | None
+
+    def repeated_keys(self, key: str) -> DataFrame:
+        """Keys held more than once by the whole table, at least once in a fresh batch."""
+        keys = self.fresh.select(key)
+        if self.others is not None:
+            listed = keys.where(F.col(key).isNotNull()).distinct()
+            keys = keys.unionByName(self.others.select(key).join(listed, key, "left_semi"))
+        return checks.unique(keys, key)
+
+    def exposed(self, key: str, changed: DataFrame | None) -> DataFrame:
+        """Fresh rows and the other rows that refer to a changed parent."""
+        if self.others is None or changed is None:
+            return self.fresh
+        return self.fresh.unionByName(self.others.join(changed, key, "left_semi"))
+
+
+def _scope(
+    store: LotStore,
+    version: TableVersion,
+    lots: set[str] | None,
+    shape: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> Scope:
+    if lots is None:
+        return Scope(shape(store.open(version)), None)
+    unchanged = version.folders.keys() - lots
+    return Scope(shape(store.open(version, lots)), shape(store.open(version, unchanged)))
 
 
-def _link_check(name: str, child: DataFrame, key: str, parent: DataFrame) -> DataFrame:
-    missing = checks.relationships(child, key, parent, key)
+def _key_check(name: str, scope: Scope, key: str) -> DataFrame:
+    return violation_count(f"{name} unique {key}", scope.repeated_keys(key))
+
+
+def _link_check(
+    name: str, scope: Scope, key: str, parent: DataFrame, changed: DataFrame | None
+) -> DataFrame:
+    missing = checks.relationships(scope.exposed(key, changed), key, parent, key)
     return violation_count(f"{name} relationships {key}", missing)
 
 
 def staging_checks(
-    store: LotStore,
-    staging: Mapping[str, TableVersion],
-    specs: Mapping[str, EntitySpec] = ENTITIES,
+    store: LotStore, staged: Staged, specs: Mapping[str, EntitySpec] = ENTITIES
 ) -> list[DataFrame]:
-    relations = clean_relations(store, staging, specs)
-    found = []
+    relations, found = clean_relations(store, staged.tables, specs), []
     for name, spec in specs.items():
-        df = relations[name]
-        found.append(_named(name, table_check(df, STAGING_FILLED[name], STAGING_DOMAINS[name])))
-        found.append(_key_check(name, df, spec.key))
+        scope = _scope(
+            store,
+            staged.tables[f"validado_{name}"],
+            staged.runs[name].rewritten,
+            lambda df, s=spec: clean(df, s),
+        )
+        rules = STAGING_FILLED[name], STAGING_DOMAINS[name]
+        found.append(_named(name, table_check(scope.fresh, *rules)))
+        found.append(_key_check(name, scope, spec.key))
         for link in spec.parents:
-            found.append(_link_check(name, df, link.key, relations[link.entity]))
-    entity_domain = (Domain("entidade", tuple(ENTITIES)),)
-    rejected = rejected_records(store, staging)
-    found.append(_named("quarentena", table_check(rejected, QUARANTINE_FILLED, entity_domain)))
-    return found
+            parent, changed = relations[link.entity], staged.runs[link.entity].changed
+            found.append(_link_check(name, scope, link.key, parent, changed))
+    rejected = union_all(
+        [
+            store.open(staged.tables[f"quarentena_{name}"], run.rewritten)
+            for name, run in staged.runs.items()
+        ]
+    )
+    domain = (Domain("entidade", tuple(ENTITIES)),)
+    return [*found, _named("quarentena", table_check(rejected, QUARANTINE_FILLED, domain))]
 
 
 # --- marts ---------------------------------------------------------------------------------
@@ -256,30 +313,36 @@ def merge_fact(
     return store.replace_lots(current, store.write_lots(table, rewritten), lots), lots
 
 
+def affected_days(
+    store: LotStore,
+    before: TableVersion | None,
+    after: TableVersion,
+    rewritten: set[str] | None,
+    day_column: str,
+) -> list[dt.date] | None:
+    """Days with a row in a rewritten batch, before or after; None when all may have changed."""
+    if before is None or rewritten is None:
+        return None
+    held = [store.open(version, rewritten).select(day_column) for version in (before, after)]
+    return [row[0] for row in union_all(held).distinct().collect()]
+
+
 def restate_days(
     store: LotStore,
     current: TableVersion | None,
     table: str,
     day_column: str,
     aggregate: Callable[[DataFrame], DataFrame],
-    fact_before: TableVersion | None,
-    fact_after: TableVersion,
-    rewritten: set[str] | None,
+    facts: DataFrame,
+    days: list[dt.date] | None,
 ) -> TableVersion:
-    """A daily aggregate recomputed for the days that the rewritten fact batches hold.
+    """A daily aggregate recomputed for the given days; the others keep their published rows.
 
-    Other days keep their published rows. The aggregate is a function of the fact alone, so a day
-    without a rewritten row cannot have changed. At most the dates of those batches reach the
-    driver.
+    The aggregate is a function of the fact alone, so a day without a rewritten row cannot have
+    changed.
     """
-    facts = store.open(fact_after)
-    if current is None or fact_before is None or rewritten is None:
+    if current is None or days is None:
         return store.write_table(table, aggregate(facts))
-    held = [
-        store.open(version, rewritten).select(day_column)
-        for version in (fact_before, fact_after)
-    ]
-    days = [row[0] for row in union_all(held).distinct().collect()]
     affected = F.col(day_column).isin(days)
     kept = store.open(current).where(~affected)
     return store.write_table(table, kept.unionByName(aggregate(facts.where(affected))))
@@ -315,75 +378,103 @@ def restate_quality(
     return written if lots is None else store.replace_lots(current[table], written, lots)
 
 
+FACTS = {
+    "fct_apostas": ("apostas", marts.bet_facts, "data_aposta"),
+    "fct_transacoes": ("transacoes", marts.transaction_facts, "data_transacao"),
+}
+AGGREGATES = {
+    "agg_ggr_diario_esporte": ("fct_apostas", marts.daily_ggr),
+    "agg_engajamento_diario": ("fct_apostas", marts.daily_engagement),
+    "agg_financeiro_diario": ("fct_transacoes", marts.daily_cash),
+}
+
+
+@dataclass(frozen=True)
+class Built:
+    """The marts, with the fact batches written and the days restated (None: all)."""
+
+    tables: dict[str, TableVersion]
+    lots: dict[str, set[str] | None]
+    days: dict[str, list[dt.date] | None]
+
+
 def build_marts(
     store: LotStore,
     staging: Mapping[str, TableVersion],
     lot_date: dt.date,
     specs: Mapping[str, EntitySpec] = ENTITIES,
-) -> dict[str, TableVersion]:
+) -> Built:
     """The marts after this batch, with the validated tables they were built from."""
     current = store.state(MARTS)
     rows = clean_relations(store, staging, specs)
     validated = {f"validado_{name}": staging[f"validado_{name}"] for name in specs}
 
-    def fact(table: str, facts: DataFrame, key: str):
-        return merge_fact(store, current.get(table), table, facts, key, lot_date)
-
-    facts = together(
-        store.spark,
-        {
-            "fct_apostas": lambda: fact(
-                "fct_apostas", marts.bet_facts(rows["apostas"]), BETS.key
-            ),
-            "fct_transacoes": lambda: fact(
-                "fct_transacoes", marts.transaction_facts(rows["transacoes"]), TRANSACTIONS.key
-            ),
-        },
-    )
+    def fact(table: str):
+        entity, shape, day = FACTS[table]
+        old = current.get(table)
+        version, lots = merge_fact(
+            store, old, table, shape(rows[entity]), specs[entity].key, lot_date
+        )
+        return version, lots, affected_days(store, old, version, lots, day)
+
+    facts = together(store.spark, {table: lambda t=table: fact(t) for table in FACTS})
 
-    def daily(table: str, day: str, aggregate: Callable[[DataFrame], DataFrame], source: str):
-        after, lots = facts[source]
+    def daily(table: str) -> TableVersion:
+        source, aggregate = AGGREGATES[table]
+        version, _, days = facts[source]
         return restate_days(
-            store, current.get(table), table, day, aggregate, current.get(source), after, lots
+            store, current.get(table), table, FACTS[source][2], aggregate, store.open(version), days
         )
 
-    built = together(
-        store.spark,
-        {
-            "dim_apostadores": lambda: store.write_table(
-                "dim_apostadores", marts.dim_bettors(rows["apostadores"], rows["apostas"])
-            ),
-            "dim_eventos": lambda: store.write_table(
-                "dim_eventos", marts.dim_events(rows["eventos"])
-            ),
-            "agg_qualidade_lote": lambda: restate_quality(
-                store, current, validated, specs
-            ),
-            "agg_ggr_diario_esporte": lambda: daily(
-                "agg_ggr_diario_esporte", "data_aposta", marts.daily_ggr, "fct_apostas"
-            ),
-            "agg_engajamento_diario": lambda: daily(
-                "agg_engajamento_diario", "data_aposta", marts.daily_engagement, "fct_apostas"
-            ),
-            "agg_financeiro_diario": lambda: daily(
-                "agg_financeiro_diario", "data_transacao", marts.daily_cash, "fct_transacoes"
-            ),
-        },
+    jobs = {table: lambda t=table: daily(t) for table in AGGREGATES}
+    jobs["dim_apostadores"] = lambda: store.write_table(
+        "dim_apostadores", marts.dim_bettors(rows["apostadores"], rows["apostas"])
+    )
+    jobs["dim_eventos"] = lambda: store.write_table("dim_eventos", marts.dim_events(rows["eventos"]))
+    jobs["agg_qualidade_lote"] = lambda: restate_quality(store, current, validated, specs)
+    tables = validated | {name: version for name, (version, *_) in facts.items()}
+    return Built(
+        tables | together(store.spark, jobs),
+        {name: lots for name, (_, lots, _) in facts.items()},
+        {name: days for name, (*_, days) in facts.items()},
     )
-    return validated | {name: version for name, (version, _) in facts.items()} | built
+
+
+def _changed_dimension(
+    store: LotStore, current: Mapping[str, TableVersion], table: str, now: DataFrame, entity: str
+) -> DataFrame | None:
+    if table not in current:
+        return None
+    return changed_parents(store.open(current[table]), now, ENTITIES[entity])
+
+
+def _drift(
+    store: LotStore, built: Built, table: str, grain: list[str], tests: dict[str, str]
+) -> DataFrame:
+    """Published against recomputed, on the restated days."""
+    source, aggregate = AGGREGATES[table]
+    published, facts = store.open(built.tables[table]), store.open(built.tables[source])
+    if built.days[source] is not None:
+        restated = F.col(FACTS[source][2]).isin(built.days[source])
+        published, facts = published.where(restated), facts.where(restated)
+    return checks.drift_counts(published, aggregate(facts), grain, tests)
 
 
 def mart_checks(
-    store: LotStore,
-    built: Mapping[str, TableVersion],
-    specs: Mapping[str, EntitySpec] = ENTITIES,
+    store: LotStore, built: Built, specs: Mapping[str, EntitySpec] = ENTITIES
 ) -> list[DataFrame]:
-    t = {name: store.open(version) for name, version in built.items()}
-    bets, ggr = t["fct_apostas"], t["agg_ggr_diario_esporte"]
-    engagement, cash = t["agg_engajamento_diario"], t["agg_financeiro_diario"]
-    quality_mart = t["agg_qualidade_lote"]
-    extra_reasons = {rule.reason for spec in specs.values() for rule in spec.rules}
-    reasons = tuple(sorted({*REASONS, *extra_reasons, NO_REJECTION}))
+    """The marts contract. What passed before and cannot have changed is not read again."""
+    current = store.state(MARTS)
+    t = {n: store.open(v) for n, v in built.tables.items() if n not in FACTS}
+    scopes = {n: _scope(store, built.tables[n], built.lots[n]) for n in FACTS}
+    scopes |= {
+        n: Scope(df, None) for n, df in t.items() if n.startswith(("dim_", "agg_"))
+    }
+    bets = scopes["fct_apostas"]
+    bettors, events = t["dim_apostadores"], t["dim_eventos"]
+    moved_bettors = _changed_dimension(store, current, "dim_apostadores", bettors, "apostadores")
+    moved_events = _changed_dimension(store, current, "dim_eventos", events, "eventos")
+    reasons = {*REASONS, NO_REJECTION, *(r.reason for s in specs.values() for r in s.rules)}
     filled = {
         "dim_eventos": (("evento_id", "esporte"), (Domain("esporte", SPORTS),)),
         "dim_apostadores": (("apostador_id", "estado"), ()),
@@ -397,10 +488,9 @@ def mart_checks(
         "agg_financeiro_diario": (("data_transacao",), ()),
         "agg_qualidade_lote": (
             ("lote_data", "entidade", "motivo"),
-            (Domain("entidade", tuple(ENTITIES)), Domain("motivo", reasons)),
+            (Domain("entidade", tuple(ENTITIES)), Domain("motivo", tuple(sorted(reasons)))),
         ),
     }
-    found = [_named(name, table_check(t[name], *rules)) for name, rules in filled.items()]
     keys = {
         "dim_eventos": "evento_id",
         "dim_apostadores": "apostador_id",
@@ -409,29 +499,32 @@ def mart_checks(
         "agg_engajamento_diario": "data_aposta",
         "agg_financeiro_diario": "data_transacao",
     }
-    found += [_key_check(name, t[name], key) for name, key in keys.items()]
+    ggr, quality_mart = t["agg_ggr_diario_esporte"], t["agg_qualidade_lote"]
+    suspects = bets.exposed("evento_id", moved_events)
     singular = {
         "ggr grain": checks.repeated(ggr, "data_aposta", "esporte"),
         "ggr identity": checks.ggr_identity(ggr),
-        "mean ticket": checks.mean_ticket(engagement),
-        "net identity": checks.net_identity(cash),
-        "invalid facts": checks.no_invalid_facts(bets, t["dim_eventos"]),
+        "mean ticket": checks.mean_ticket(t["agg_engajamento_diario"]),
+        "net identity": checks.net_identity(t["agg_financeiro_diario"]),
+        "invalid facts": checks.no_invalid_facts(suspects, events),
         "quality grain": checks.repeated(quality_mart, "lote_data", "entidade", "motivo"),
         "received balance": checks.received_balance(quality_mart),
     }
-    found += [
-        checks.drift_counts(
-            ggr, marts.daily_ggr(bets), ["data_aposta", "esporte"],
+    return [
+        *(_named(n, table_check(scopes[n].fresh, *rules)) for n, rules in filled.items()),
+        *(_key_check(n, scopes[n], key) for n, key in keys.items()),
+        _link_check("fct_apostas", bets, "apostador_id", bettors, moved_bettors),
+        _link_check("fct_apostas", bets, "evento_id", events, moved_events),
+        _drift(
+            store, built, "agg_ggr_diario_esporte", ["data_aposta", "esporte"],
             {"ggr status": "total_apostado", "exposure": "exposicao_pendente"},
         ),
-        checks.drift_counts(
-            engagement, marts.daily_engagement(bets), ["data_aposta"],
+        _drift(
+            store, built, "agg_engajamento_diario", ["data_aposta"],
             {"engagement volume": "volume_apostado", "active bettors": "apostadores_ativos"},
         ),
-        _link_check("fct_apostas", bets, "apostador_id", t["dim_apostadores"]),
-        _link_check("fct_apostas", bets, "evento_id", t["dim_eventos"]),
-    ]
-    return found + [violation_count(name, df) for name, df in singular.items()]
+        *(violation_count(name, df) for name, df in singular.items()),
+    ]
 
 
 # --- the run -------------------------------------------------------------------------------
@@ -456,14 +549,19 @@ def run_batch(
         load_lot(store, lots_root, lot_date, run_at, report, specs)
         event |= {"linhas_escritas": report.rows_loaded, "linhas_removidas": report.rows_removed}
     with logged(store, "staging_construido", lote_data=lot_date, execucao=report.run_id) as event:
-        staging = build_staging(store, run_at, lot_date, specs, rebuild)
-        checks.gate(staging_checks(store, staging, specs))
-        store.publish(STAGING, staging, report.run_id, run_at)
-        event["linhas"] = {name: v.total_rows for name, v in staging.items()}
+        staged = build_staging(store, run_at, lot_date, specs, rebuild)
+        try:
+            checks.gate(staging_checks(store, staged, specs))
+        finally:
+            staged.release()
+        store.publish(STAGING, staged.tables, report.run_id, run_at)
+        event["linhas"] = {name: v.total_rows for name, v in staged.tables.items()}
     with logged(store, "marts_publicados", lote_data=lot_date, execucao=report.run_id) as event:
-        built = build_marts(store, staging, lot_date, specs)
+        built = build_marts(store, staged.tables, lot_date, specs)
         checks.gate(mart_checks(store, built, specs))
-        store.publish(MARTS, built, report.run_id, run_at, marts.NOTES)
-        report.rows_published = {n: v.total_rows for n, v in built.items() if n not in staging}
+        store.publish(MARTS, built.tables, report.run_id, run_at, marts.NOTES)
+        report.rows_published = {
+            n: v.total_rows for n, v in built.tables.items() if n not in staged.tables
+        }
         event["linhas"] = report.rows_published
     return report
