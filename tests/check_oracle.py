@@ -14,7 +14,13 @@ from lotforge.session import build_session  # noqa: E402
 
 def main(sf: str = "0.01", *names: str) -> int:
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = build_session("check", "local[8]", **{"spark__sql__shuffle__partitions": "8"})
+    spark = build_session(
+        "check",
+        "local[8]",
+        spark__sql__shuffle__partitions="8",
+        spark__driver__memory="8g",
+        spark__ui__showConsoleProgress="false",
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     sql = entry.oracle_sql()

@@ -223,7 +223,7 @@ def random_lot(spark, seed, lot):
     return raw
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_incremental_staging_equals_rebuild(world, monkeypatch, seed):
     """Lots arriving in any order and replaced at random give the same staging and quality."""
     import lotforge.plans.batch as batch
