@@ -158,12 +158,6 @@ class Domain:
     values: tuple[str, ...]
 
 
-@dataclass(frozen=True)
-class Link:
-    column: str
-    to: str
-
-
 def table_check(
     df: DataFrame, filled: tuple[str, ...] = (), domains: tuple[Domain, ...] = ()
 ) -> DataFrame:

@@ -13,17 +13,6 @@ from lotforge.model import OWN, PARENT, EntitySpec, Rule
 from lotforge.operators.canonical import canonical_rows, mark_superseded
 from lotforge.operators.lookup import lookup, restrict
 
-QUARANTINE_COLUMNS = (
-    "entidade",
-    "chave_natural",
-    "registro_original",
-    "motivos",
-    "arquivo_origem",
-    "linha_origem",
-    "lote_data",
-    "rejeitado_em",
-)
-
 
 def reasons(rules: tuple[Rule, ...]) -> Column:
     """All reasons that apply, in rule order; an unknown (NULL) condition does not apply."""

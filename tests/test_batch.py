@@ -5,7 +5,7 @@ import json
 import random
 
 import pytest
-from conftest import LOT, NEXT, RUN_AT, Raw
+from conftest import LOT, NEXT, Raw
 from pyspark.sql import functions as F
 
 from lotforge.model import ENTITIES

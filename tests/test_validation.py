@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lotforge.model import BETS, DISTINCT_TEAMS, ENTITIES, EVENTS, KNOWN_STATE, ODD_AT_LEAST_ONE
 from lotforge.operators import checks
-from lotforge.operators.validate import clean, quarantine, validate
+from lotforge.operators.validate import clean, validate
 from lotforge.plans import consumer
 from lotforge.plans.relations import Relations
 
