@@ -33,7 +33,9 @@ from lotforge.llm.common import content_key, stored
 from lotforge.llm.grams import Rolling, U, mix, sliding_min
 
 #: Bytes of text that one vectorised pass takes.
-SEGMENT = 1 << 21
+SEGMENT = 1 << 19
+#: Rows of a batch that are looked at together.
+ROWS = 1024
 #: Depth behind the shared gram to which multikey quicksort goes before blind tries take over.
 SHALLOW = 12
 #: Up to so many stretches, comparing each two costs less than one pass per window offset.
@@ -92,13 +94,19 @@ def anchors(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[np.nda
         yield index[piece], grams[q], stretch, lo - begins[piece] + at[piece], q - lo, hi - lo
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _bytes(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
 def _find(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             t1, t2 = batch.column("t1").to_numpy(), batch.column("t2").to_numpy()
             for index, h, s, lo, back, more in anchors(_bytes(batch.column("text")), length, gram):
                 yield pa.RecordBatch.from_arrays(
@@ -302,7 +310,7 @@ def _compare(length: int, gram: int):
             for key, found in zip(s, runs):
                 out.extend((h[0], key, first, last) for first, last in found)
 
-        for batch in batches:
+        for batch in _slices(batches):
             for row in zip(*(batch.column(c).to_pylist() for c in ("h", "s", "span", "back", "more", "n"))):
                 if held and held[0][0] != row[0]:
                     settle(held)
@@ -329,7 +337,7 @@ def _cut(length: int, crowd: int):
     """Stretches of the asked-for places; for crowded grams two hashes of each window instead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows: list[tuple] = []
             for text, asked in zip(_bytes(batch.column("text")), batch.column("asked").to_pylist()):
                 for a in asked:
@@ -363,7 +371,7 @@ def _merge(spans: list[tuple[int, int]]) -> list[list[int]]:
 
 def _digest(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for text, found in zip(_bytes(batch.column("text")), batch.column("found").to_pylist()):
                 cuts = _merge([(f["start"], f["end"]) for f in found or ()])
