@@ -39,7 +39,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     went goes whole. A null text stays null."""
     ship(spark)
     others = F.struct(*(c for c in docs.columns if c != "text"))
-    rows = docs.select("text", others.alias("row"), F.col("text").isNull().alias("empty"))
+    rows = docs.select("doc_id", "text", others.alias("row"), F.col("text").isNull().alias("empty"))
     cut = without_repeats(rows, with_text=True)
     cut = cut.withColumn("kept", F.when(~F.col("empty"), F.col("kept")))
     values = {c: F.col(f"row.{c}") for c in docs.columns if c not in ("text", "n_chars")}

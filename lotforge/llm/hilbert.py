@@ -21,6 +21,14 @@ from pyspark.sql.window import Window
 from lotforge.llm.common import stored, with_position
 
 
+def _left(value: int, by: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(value), by)  # the count is a column here
+
+
+def _right(value: Column, by: Column) -> Column:
+    return F.call_function("shiftright", value, by)
+
+
 def _steps(bits: int, least: int, dims: int) -> Column:
     return F.array(
         *(F.struct(F.lit(b).alias("b"), F.lit(i).alias("i")) for b in range(bits - 1, least - 1, -1) for i in range(dims))
@@ -31,7 +39,7 @@ def hilbert_index(levels: Column, dims: int, bits: int) -> Column:
     """Place on the Hilbert curve of the cell whose coordinates are the array `levels`."""
 
     def turn(x: Column, step: Column) -> Column:
-        bit = F.shiftleft(F.lit(1), step["b"])  # type: ignore[arg-type]
+        bit = _left(1, step["b"])
         under = bit - 1
         mine = F.element_at(x, step["i"] + 1)
         swap = (F.element_at(x, 1).bitwiseXOR(mine)).bitwiseAND(under)
@@ -50,7 +58,7 @@ def hilbert_index(levels: Column, dims: int, bits: int) -> Column:
     )
 
     def undo(t: Column, b: Column) -> Column:
-        bit = F.shiftleft(F.lit(1), b)  # type: ignore[arg-type]
+        bit = _left(1, b)
         return F.when(F.element_at(gray, dims).bitwiseAND(bit) != 0, t.bitwiseXOR(bit - 1)).otherwise(t)
 
     flip = F.aggregate(F.array(*map(F.lit, range(bits - 1, 0, -1))), F.lit(0), undo)
@@ -58,7 +66,7 @@ def hilbert_index(levels: Column, dims: int, bits: int) -> Column:
     return F.aggregate(
         _steps(bits, 0, dims),
         F.lit(0),
-        lambda a, s: a * 2 + F.shiftright(F.element_at(plain, s["i"] + 1), s["b"]).bitwiseAND(1),  # type: ignore[arg-type]
+        lambda a, s: a * 2 + _right(F.element_at(plain, s["i"] + 1), s["b"]).bitwiseAND(1),
     )
 
 

@@ -46,11 +46,11 @@ WITH d AS (
 ), m AS (
   SELECT d.doc_id, d.size, x.source_size, x.target, x.whole, x.extra,
     coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS taken_before
   FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source
 )
 SELECT doc_id, size, source_size, target,
-  (size * (whole + CASE WHEN extra > 0 AND 2 * at + size <= 2 * extra THEN 1 ELSE 0 END))::BIGINT AS taken
+  (size * (whole + CASE WHEN extra > 0 AND 2 * taken_before + size <= 2 * extra THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM m
 """,
     "op7_pivots": """
