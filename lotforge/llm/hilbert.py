@@ -12,6 +12,7 @@ are used, so others may have any name.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,11 @@ def _right(value: Column, by: Column) -> Column:
     return F.call_function("shiftright", value, by)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often `use` looks at it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _steps(bits: int, least: int, dims: int) -> Column:
     return F.array(
         *(F.struct(F.lit(b).alias("b"), F.lit(i).alias("i")) for b in range(bits - 1, least - 1, -1) for i in range(dims))
@@ -51,23 +57,30 @@ def hilbert_index(levels: Column, dims: int, bits: int) -> Column:
             .otherwise(v),
         )
 
-    turned = F.aggregate(_steps(bits, 1, dims), levels, turn)
-    gray = F.transform(
-        F.sequence(F.lit(1), F.lit(dims)),
-        lambda n: F.aggregate(F.slice(turned, 1, n), F.lit(0), lambda a, v: a.bitwiseXOR(v)),
-    )
+    def prefixes(turned: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.lit(dims)),
+            lambda n: F.aggregate(F.slice(turned, 1, n), F.lit(0), lambda a, v: a.bitwiseXOR(v)),
+        )
 
-    def undo(t: Column, b: Column) -> Column:
-        bit = _left(1, b)
-        return F.when(F.element_at(gray, dims).bitwiseAND(bit) != 0, t.bitwiseXOR(bit - 1)).otherwise(t)
+    def undone(gray: Column) -> Column:
+        last = F.element_at(gray, dims)
 
-    flip = F.aggregate(F.array(*map(F.lit, range(bits - 1, 0, -1))), F.lit(0), undo)
-    plain = F.transform(gray, lambda v: v.bitwiseXOR(flip))
-    return F.aggregate(
-        _steps(bits, 0, dims),
-        F.lit(0),
-        lambda a, s: a * 2 + _right(F.element_at(plain, s["i"] + 1), s["b"]).bitwiseAND(1),
-    )
+        def undo(t: Column, b: Column) -> Column:
+            return F.when(last.bitwiseAND(_left(1, b)) != 0, t.bitwiseXOR(_left(1, b) - 1)).otherwise(t)
+
+        flip = F.aggregate(F.array(*map(F.lit, range(bits - 1, 0, -1))), F.lit(0), undo)
+        return _once(flip, lambda f: F.transform(gray, lambda v: v.bitwiseXOR(f)))
+
+    def interleaved(plain: Column) -> Column:
+        return F.aggregate(
+            _steps(bits, 0, dims),
+            F.lit(0),
+            lambda a, s: a * 2 + _right(F.element_at(plain, s["i"] + 1), s["b"]).bitwiseAND(1),
+        )
+
+    turned = F.aggregate(_steps(bits, 1, dims), levels, turn)
+    return _once(turned, lambda t: _once(prefixes(t), lambda g: _once(undone(g), interleaved)))
 
 
 def hilbert_shards(rows: DataFrame, dims: list[str], order: list[str], shards: int = 40, bits: int = 4) -> DataFrame:
