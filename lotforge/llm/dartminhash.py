@@ -11,8 +11,10 @@ per cell and slab plus about k log k darts.
 Candidates share one of 32 bands of 4 coordinates. They are settled in two rounds without pairing
 all members of a band: first each member with the band's smallest, verified; then, where the
 components so far still differ, members of one band that agree in enough coordinates, each pair in
-its first common band only, verified too. Verification is the exact weighted Jaccard of the texts.
-At similarity 0.8 a pair misses all bands with probability 5e-8 and the agreement bound with 4e-6.
+its first common band only, verified too. Members of such bands get a second, longer signature of
+one byte per coordinate, so that a big group of almost near texts yields few pairs in vain.
+Verification is the exact weighted Jaccard of the texts. At similarity 0.8 a pair misses all bands
+with probability 5e-8, the agreement bound with 4e-6 and that of the long signature with 1e-6.
 
 Words are maximal runs of characters other than space, tab, LF, VT, FF and CR. Null texts and texts
 without words link with nothing. Equal texts are collapsed first and belong together. A doc_id
@@ -37,6 +39,8 @@ COORDINATES, ROWS_PER_BAND = 128, 4
 BANDS = COORDINATES // ROWS_PER_BAND
 #: Coordinates that a candidate pair of the second round must share.
 AGREE = 82
+#: Coordinates of the long signature, and how many of them such a pair must share.
+FINE, FINE_AGREE = 1024, 756
 #: Documents, and bytes of them, that one vectorised pass takes.
 _DOCS, _BYTES = 512, 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
@@ -147,6 +151,15 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(chosen) for c in others), lists], names=[*others, "sig"])
 
 
+def _sign_finely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for start, end in _groups(texts):
+            _, signature = signatures(*cells(texts[start:end]), end - start, FINE)
+            rows = [row.tobytes() for row in (signature & U(255)).astype(np.uint8)]
+            yield pa.RecordBatch.from_arrays([batch.column("node").slice(start, end - start), pa.array(rows)], names=["node", "fine"])
+
+
 def jaccard(pairs: list[tuple[bytes, bytes]]) -> np.ndarray:
     """Exact weighted Jaccard similarity of the shingles of each two texts."""
     doc, cell = cells([t for pair in pairs for t in pair])
@@ -172,10 +185,10 @@ def _verify(least: float):
 
 
 def _band_pairs(agree: int):
-    """Pairs of one band's members in different components that agree in `agree` coordinates and
-    in no earlier band. Rows come sorted by band; blocks keep the comparison in bounded memory."""
+    """Pairs of one band's members in different components that agree in `agree` coordinates,
+    in no earlier band, and closely enough in the long signature. Rows come sorted by band; blocks keep the comparison in bounded memory."""
 
-    def pairs(node: np.ndarray, component: np.ndarray, sig: np.ndarray, band: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(node: np.ndarray, component: np.ndarray, sig: np.ndarray, fine: np.ndarray, band: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         block = 64
         for i in range(0, len(node), block):
             for j in range(i, len(node), block):
@@ -186,7 +199,8 @@ def _band_pairs(agree: int):
                 if i == j:
                     fits = np.triu(fits, 1)
                 x, y = np.nonzero(fits)
-                yield node[i + x], node[j + y]
+                close = (fine[i + x] == fine[j + y]).sum(axis=1) >= FINE_AGREE
+                yield node[i + x[close]], node[j + y[close]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -209,9 +223,10 @@ def _band_pairs(agree: int):
         node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
         band = table.column("band").to_numpy()
         sig = table.column("sig").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
+        fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
         cuts = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
         for start, end in zip(cuts[:-1], cuts[1:]):
-            for a, b in pairs(node[start:end], component[start:end], sig[start:end], int(band[start])):
+            for a, b in pairs(node[start:end], component[start:end], sig[start:end], fine[start:end], int(band[start])):
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
@@ -254,10 +269,12 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     open_bands = members.join(so_far, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = open_bands.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = mixed.where("lo < hi").drop("lo", "hi")
+    open_bands = stored(open_bands.join(mixed, ["band", "key"]), "open")
+    fine = bodies.join(open_bands.select("node").distinct(), "node").mapInArrow(_sign_finely, "node long, fine binary")
     rest = (
-        open_bands.join(mixed, ["band", "key"])
-        .join(distinct.select("node", "sig"), "node")
-        .select("key", "band", "node", "component", "sig")
+        open_bands.join(distinct.select("node", "sig"), "node")
+        .join(fine, "node")
+        .select("key", "band", "node", "component", "sig", "fine")
         .repartition("key")
         .sortWithinPartitions("key", "band")
         .mapInArrow(_band_pairs(AGREE), "a long, b long")
