@@ -40,7 +40,7 @@ BANDS = COORDINATES // ROWS_PER_BAND
 #: Coordinates that a candidate pair of the second round must share.
 AGREE = 82
 #: Coordinates of the long signature, and how many of them such a pair must share.
-FINE, FINE_AGREE = 1024, 756
+FINE, FINE_AGREE = 2048, 1551
 #: Documents, and bytes of them, that one vectorised pass takes.
 _DOCS, _BYTES = 512, 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
