@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from lotforge.model import BET_STATUSES, UNPAID_STATUSES
 from lotforge.operators.validate import union_all
-from lotforge.plans.marts import daily_engagement, daily_ggr
+
+#: Type of a published sum of money (fixed by the data contract).
+_SUMS = "decimal(22,2)"
 
 
 class GateError(RuntimeError):
@@ -68,32 +70,67 @@ def ggr_identity(ggr: DataFrame) -> DataFrame:
     )
 
 
+def stakes_by_sport(facts: DataFrame) -> DataFrame:
+    """Settled and pending stakes, from the fact's rows alone and not by the marts' expressions."""
+    decided = F.expr("sum(if(status in ('ganha', 'perdida'), valor_apostado, 0))")
+    waiting = F.expr("sum(if(status = 'pendente', valor_apostado, 0))")
+    return facts.groupBy("data_aposta", "esporte").agg(
+        decided.cast(_SUMS).alias("total_apostado"), waiting.cast(_SUMS).alias("exposicao_pendente")
+    )
+
+
+def engagement_by_day(facts: DataFrame) -> DataFrame:
+    """All stakes and the different bettors of a day: one row per bettor first, then per day."""
+    each = facts.groupBy("data_aposta", "apostador_id").agg(F.sum("valor_apostado").alias("_stake"))
+    return each.groupBy("data_aposta").agg(
+        F.sum("_stake").cast(_SUMS).alias("volume_apostado"),
+        F.count("apostador_id").alias("apostadores_ativos"),
+    )
+
+
+#: The recomputation that each published aggregate is held against.
+RECOMPUTED = {"agg_ggr_diario_esporte": stakes_by_sport, "agg_engajamento_diario": engagement_by_day}
+
+
+def _beside(published: DataFrame, recomputed: DataFrame, grain: list[str]) -> DataFrame:
+    """Rows of both as p and r; a group that one side lacks stays."""
+    same = reduce(Column.__and__, (F.col(f"p.{g}").eqNullSafe(F.col(f"r.{g}")) for g in grain))
+    return published.alias("p").join(recomputed.alias("r"), same, "full_outer")
+
+
+def _differ(column: str) -> Column:
+    return ~F.col(f"p.{column}").eqNullSafe(F.col(f"r.{column}"))
+
+
 def _differs(
     published: DataFrame, recomputed: DataFrame, grain: list[str], column: str
 ) -> DataFrame:
-    expected = recomputed.select(*grain, F.col(column).alias("recalculado"))
     return (
-        published.select(*grain, F.col(column).alias("no_agregado"))
-        .join(expected, grain, "inner")
-        .where(F.col("no_agregado") != F.col("recalculado"))
+        _beside(published, recomputed, grain)
+        .where(_differ(column))
+        .select(
+            *(F.coalesce(f"p.{g}", f"r.{g}").alias(g) for g in grain),
+            F.col(f"p.{column}").alias("no_agregado"),
+            F.col(f"r.{column}").alias("recalculado"),
+        )
     )
 
 
 def ggr_status(ggr: DataFrame, facts: DataFrame) -> DataFrame:
     """Cancelled or pending stakes leaking into the revenue columns."""
-    return _differs(ggr, daily_ggr(facts), ["data_aposta", "esporte"], "total_apostado")
+    return _differs(ggr, stakes_by_sport(facts), ["data_aposta", "esporte"], "total_apostado")
 
 
 def exposure(ggr: DataFrame, facts: DataFrame) -> DataFrame:
-    return _differs(ggr, daily_ggr(facts), ["data_aposta", "esporte"], "exposicao_pendente")
+    return _differs(ggr, stakes_by_sport(facts), ["data_aposta", "esporte"], "exposicao_pendente")
 
 
 def volume(engagement: DataFrame, facts: DataFrame) -> DataFrame:
-    return _differs(engagement, daily_engagement(facts), ["data_aposta"], "volume_apostado")
+    return _differs(engagement, engagement_by_day(facts), ["data_aposta"], "volume_apostado")
 
 
 def active_bettors(engagement: DataFrame, facts: DataFrame) -> DataFrame:
-    return _differs(engagement, daily_engagement(facts), ["data_aposta"], "apostadores_ativos")
+    return _differs(engagement, engagement_by_day(facts), ["data_aposta"], "apostadores_ativos")
 
 
 def mean_ticket(engagement: DataFrame) -> DataFrame:
@@ -182,13 +219,8 @@ def drift_counts(
 
     `tests` maps a test name to the column it compares.
     """
-    pairs = published.alias("p").join(recomputed.alias("r"), grain, "inner")
-    row = pairs.agg(
-        *(
-            F.count_if(F.col(f"p.{column}") != F.col(f"r.{column}")).alias(name)
-            for name, column in tests.items()
-        )
-    )
+    pairs = _beside(published, recomputed, grain)
+    row = pairs.agg(*(F.count_if(_differ(column)).alias(name) for name, column in tests.items()))
     entries = [
         F.struct(F.lit(name).alias("teste"), F.col(f"`{name}`").alias("linhas")) for name in tests
     ]

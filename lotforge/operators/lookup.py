@@ -7,14 +7,10 @@ from pyspark.sql import functions as F
 
 from lotforge.model import ROW_IDENTITY, Parent
 
-# Rows without a foreign key are spread over this many values that no parent has.
-NULL_SPREAD = 65536
-
 
 def _spread_key(fk: str) -> Column:
-    filler = F.concat(
-        F.lit("\u0000"), F.pmod(F.xxhash64(*ROW_IDENTITY), F.lit(NULL_SPREAD)).cast("string")
-    )
+    """Rows without a foreign key get values of their own that no parent has."""
+    filler = F.concat(F.lit("\u0000"), F.xxhash64(*ROW_IDENTITY).cast("string"))
     return F.coalesce(F.col(fk), filler)
 
 

@@ -166,7 +166,7 @@ def build_staging(
         version, old = raw[f"raw_{name}"], staged.get(f"validado_{name}")
         if old is None:
             rows = validate(store.open(version), specs[name], parents)
-            return Restaged(store.write_lots(f"validado_{name}", rows, True), None, None)
+            return Restaged(store.write_lots(f"validado_{name}", rows), None, None)
         return restage(store, specs[name], version, old, lot_date, parents, changes)
 
     for group in PARENTS_FIRST:
@@ -301,7 +301,7 @@ def merge_fact(
     files. Rows of this batch that are gone from it vanish with its old partition.
     """
     if current is None:
-        return store.write_lots(table, facts, True), None
+        return store.write_lots(table, facts), None
     updates = facts.where(F.col("lote_data") == F.lit(lot_date))
     day = lot_date.isoformat()
     others = store.open(current, current.folders.keys() - {day})
@@ -452,12 +452,12 @@ def _drift(
     store: LotStore, built: Built, table: str, grain: list[str], tests: dict[str, str]
 ) -> DataFrame:
     """Published against recomputed, on the restated days."""
-    source, aggregate = AGGREGATES[table]
+    source = AGGREGATES[table][0]
     published, facts = store.open(built.tables[table]), store.open(built.tables[source])
     if built.days[source] is not None:
         restated = F.col(FACTS[source][2]).isin(built.days[source])
         published, facts = published.where(restated), facts.where(restated)
-    return checks.drift_counts(published, aggregate(facts), grain, tests)
+    return checks.drift_counts(published, checks.RECOMPUTED[table](facts), grain, tests)
 
 
 def mart_checks(

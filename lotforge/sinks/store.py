@@ -106,14 +106,14 @@ class LotStore:
         df.observe(counted, F.count("*").alias("linhas")).write.parquet(folder)
         return TableVersion(table, df.schema, {"": folder}, {"": counted.get["linhas"]})
 
-    def write_lots(self, table: str, df: DataFrame, many_lots: bool = False) -> TableVersion:
+    def write_lots(self, table: str, df: DataFrame) -> TableVersion:
         """New folders for every batch date in `df`; batches without rows get none.
 
-        With `many_lots`, rows are first gathered by batch so that tasks do not each write a small
-        file per batch; adaptive execution splits a large batch over several tasks.
+        Rows are first gathered by batch so that tasks do not each write a small file per batch;
+        adaptive execution splits a large batch over several tasks.
         """
         folder = self._folder(table)
-        rows = df.hint("rebalance", F.col("lote_data")) if many_lots else df
+        rows = df.hint("rebalance", F.col("lote_data"))
         rows.write.partitionBy("lote_data").parquet(folder)
         written = self.spark.read.schema(df.schema).parquet(folder)
         rows = {

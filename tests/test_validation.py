@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lotforge.model import BETS, DISTINCT_TEAMS, ENTITIES, EVENTS, KNOWN_STATE, ODD_AT_LEAST_ONE
 from lotforge.operators import checks
 from lotforge.operators.validate import clean, validate
-from lotforge.plans import consumer
+from lotforge.plans import consumer, marts
 from lotforge.plans.relations import Relations
 
 
@@ -247,3 +247,33 @@ def test_gate_raises_with_every_failing_test(spark):
             ]
         )
     assert error.value.failures == {"not_null v": 1, "accepted_values v": 1, "unique k": 1}
+
+
+def test_drift_checks_see_every_broken_aggregate(spark):
+    day = lambda n: dt.date(2026, 2, n)
+    rows = [("A", day(1), "ganha", 10), ("A", day(1), "pendente", 7), ("B", day(1), "cancelada", 3)]
+    rows += [("A", day(1), "perdida", 5), ("C", day(2), "perdida", 4)]
+    facts = spark.createDataFrame(rows, "apostador_id string, data_aposta date, status string, v int").select(
+        "apostador_id", "data_aposta", "status", F.lit("futebol").alias("esporte"),
+        F.col("v").cast("decimal(12,2)").alias("valor_apostado"), F.lit(0).cast("decimal(12,2)").alias("premio_pago"),
+    )
+    ggr, engagement = marts.daily_ggr(facts), marts.daily_engagement(facts)
+    assert all(
+        test.isEmpty()
+        for test in (
+            checks.ggr_status(ggr, facts), checks.exposure(ggr, facts),
+            checks.volume(engagement, facts), checks.active_bettors(engagement, facts),
+        )
+    )
+    pending = ggr.withColumn("total_apostado", F.col("total_apostado") + F.col("exposicao_pendente"))
+    assert checks.ggr_status(pending, facts).count() == 1
+    assert checks.exposure(ggr.withColumn("exposicao_pendente", F.col("exposicao_pendente") * 0), facts).count() == 1
+    assert checks.volume(engagement.where(F.col("data_aposta") == day(1)), facts).count() == 1
+    bets = engagement.withColumn("apostadores_ativos", F.col("qtd_apostas"))
+    assert checks.active_bettors(bets, facts).count() == 1
+    counts = checks.drift_counts(
+        pending.where(F.col("data_aposta") == day(1)),
+        checks.RECOMPUTED["agg_ggr_diario_esporte"](facts), ["data_aposta", "esporte"],
+        {"status": "total_apostado", "exposure": "exposicao_pendente"},
+    )
+    assert {r["teste"]: r["linhas"] for r in counts.collect()} == {"status": 2, "exposure": 1}
