@@ -23,6 +23,7 @@ cut into full pieces and a rest.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -34,10 +35,24 @@ from pyspark.sql import functions as F
 from lotforge.llm.common import stored, with_position
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Python's split() knows these as white space, the tokenizer's pattern does not.
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: Words that the per-task memory of encoded words holds, and the longest that it takes.
-_MEMORY, _LONGEST = 1 << 18, 64
+#: Letters up to U+017F in lower case.
+_LETTER = "a-zªµºß-öø-\u017f"
+#: Texts with a character above that, a space that the tokenizer's pattern does not know, a capital
+#: whose lower case is two characters, or the start of a special token are encoded whole.
+_ODD = re.compile("[\x1c-\x1f\u0130\u0180-\U0010ffff]|<\\|")
+#: Where these end, a token of the vocabulary's pattern ends: letters; a run without letters and
+#: apostrophes; a run with an apostrophe and the letters behind it, which may be a contraction.
+_PART = re.compile(f"[{_LETTER}]+|[^\\s{_LETTER}']+(?![^\\s{_LETTER}])|[^\\s{_LETTER}]+[{_LETTER}]*")
+#: Parts that the per-task memory of encoded parts holds, and the longest that it takes.
+_MEMORY, _LONGEST = 1 << 19, 64
+
+
+def _byte_letters() -> list[str]:
+    """The character that a byte-level vocabulary writes for each byte: itself if visible in
+    Latin-1, else one of those from U+0100 on, in order."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = iter(range(256, 512))
+    return [chr(byte) if byte in visible else chr(next(hidden)) for byte in range(256)]
 
 
 def word_vocabulary() -> str:
@@ -47,39 +62,50 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds(dict):
-    """Word -> its ids as little-endian unsigned 32-bit bytes.
+    """Part of a text in lower case -> its ids as little-endian unsigned 32-bit bytes.
 
-    The vocabulary drops white space and merges inside a word only, so the ids of a text are those
-    of its words in a row; each word is encoded once per task."""
+    The vocabulary lowers the text, drops white space and merges inside the tokens of its pattern
+    only, so the ids of a text are those of its parts in a row; each part is encoded once while the
+    memory holds it. Letters are one token of the pattern and go to the merges at once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = dict(enumerate(_byte_letters()))
 
     def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
-        if len(word) <= _LONGEST:
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def __missing__(self, part: str) -> bytes:
+        if part.isalpha():
+            written = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            ids = _packed([token.id for token in self.merge(written)])
+        else:
+            ids = self.encode(part)
+        if len(part) <= _LONGEST:
             if len(self) >= _MEMORY:
                 self.clear()
-            self[word] = ids
+            self[part] = ids
         return ids
 
     def text(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
+        if _ODD.search(text):
             return self.encode(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, _PART.findall(text.lower())))
 
 
 def _cut(path: str, end: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = WordIds(path)
-        last = np.array([end], dtype="<u4").tobytes()
+        last = _packed([end])
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):

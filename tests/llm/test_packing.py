@@ -1,10 +1,11 @@
 """Packing: every token once, nothing too long, few sequences."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-from lotforge.llm.lingroup import linear_grouping, pack, word_vocabulary
+from lotforge.llm.lingroup import WordIds, linear_grouping, pack, word_vocabulary
 from lotforge.llm.queries import queries
 
 SF = "/root/testdata/sf0.001"
@@ -65,3 +66,17 @@ def test_plan_places_each_piece_once_in_few_sequences():
                 fill[s] += length
         assert placed == lengths and max(fill.values()) <= 1000
         assert len(fill) <= -(-sum(k * n for k, n in lengths.items()) // 1000) * 1.02 + 1
+
+
+def test_ids_of_parts_are_those_of_the_text():
+    """Capitals, apostrophes, digits, odd spaces, other scripts, special tokens, random mixtures."""
+    ids = WordIds(word_vocabulary())
+    draw = random.Random(7)
+    plain = "abSTtdr',.!<|>_0123½²ªµß×÷ÀéÿŸŁſŉ \t\n\x0b\x85\xa0\x00\x7f\xad-"
+    odd = plain + "’€Σşİ\x1cć́漢"
+    words = "'s 're 'LL d'été C'EST don't ,'s ('S) ''t 'tt ÀÉ_x a1b2 ½x <|endoftext|> x<|startoftext|>y".split()
+    texts = ["", "naïve Œuvre, œuf: l'été's 12th", "ΣΑΣ", "é, x", "a" * 3000 + "'s"]
+    texts += ["".join(draw.choice(odd if n % 4 == 0 else plain) for _ in range(n % 14)) for n in range(4000)]
+    texts += ["".join(draw.choice(words) + draw.choice([" ", "", ","]) for _ in range(5)) for _ in range(1000)]
+    for text in texts:
+        assert ids.text(text) == ids.encode(text), text
