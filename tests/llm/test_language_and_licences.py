@@ -2,6 +2,7 @@
 
 import math
 import re
+import textwrap
 from collections import Counter
 
 from lotforge.llm.bytecnn import fit, languages, predict
@@ -124,3 +125,38 @@ def test_pipeline_stages(spark):
     assert mixed.columns == names
     assert mixed.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] == taken
     assert stages["best_fit_packing"](spark, mixed, SF).count() >= mixed.count()
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."""
+
+
+def test_notices_wherever_they_stand(spark):
+    wrap = lambda text, width: "\n".join(" * " + line for line in textwrap.wrap(text, width))
+    filler = "some words before and after that say nothing "
+    texts = {
+        "MIT License": "MIT",
+        "MIT License\n\nCopyright (c) 2024 The Authors\n\n" + MIT: "MIT",
+        " ".join(MIT.split()): "MIT",
+        wrap(MIT, 40): "MIT",
+        filler * 400 + MIT.replace("\n", " ") + filler * 400: "MIT",
+        "Copyright 2024 The Example Authors. All rights reserved. Released under the MIT License.": "MIT",
+        "// SPDX-License-Identifier: Apache-2.0\nint main;": "Apache-2.0",
+        "SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0",
+        "SPDX-License-Identifier: MIT-0": None,
+        wrap(GPL.format(3), 30): "GPL-3.0",
+        filler + " ".join(GPL.format(2).split()) + filler: "GPL-2.0",
+        "GNU GENERAL PUBLIC LICENSE": "GPL-1.0-or-later",
+        "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\nEveryone may copy it.": "GPL-3.0",
+        "GNU LESSER GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007": "LGPL-3.0",
+        "Licensed under\nthe Apache License,\nVersion 2.0.": "Apache-2.0",
+        "The license of the software is not known to us": None,
+        "license " * 5_000: None,
+        filler * 3_000: None,
+    }
+    files = [(i, f"{i}/x", text, False) for i, text in enumerate(texts)]
+    got = licences(spark.createDataFrame(files, "doc_id long, path string, text string, is_licence_file boolean")).collect()
+    assert {r["doc_id"]: r["licence"] for r in got} == dict(enumerate(texts.values()))
