@@ -5,8 +5,11 @@ article (menus, headers, footers, sidebars, notices, adverts, forms, scripts, co
 empty lines, as many as a window is long. Text lengths are then summed over sliding windows of
 `REACH` lines: where a sum rises from zero the text surges, where it falls back to zero it dives,
 and the lines in between are one stretch. If the page marks its article (article, main, or the
-itemprop articleBody), the stretches inside it are the text. Otherwise the densest stretch is, with
-those that reach a fair share of it; lines that are mostly links weigh nothing there.
+itemprop articleBody), the stretches inside it are the text. Otherwise lines that are mostly links
+weigh nothing, and stretches whose letters stand in the same container, the block around their
+paragraphs, are one article: all lines of the container with the most letters are the text, however
+short, linked or far apart by excluded blocks. A container that is the page itself lends only its own
+paragraphs. Stretches elsewhere belong to the text if they reach a fair share of the densest one.
 
 References are decoded after the markup is gone, white space in a line becomes one space, lines
 are trimmed and joined by LF; nothing else is changed and no length is capped. Broken pages are
@@ -16,6 +19,7 @@ text. Repeated rows give equal results, an empty table an empty one, other colum
 
 from __future__ import annotations
 
+import heapq
 import html
 import re
 from collections.abc import Iterator
@@ -24,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 REACH = 3
-#: Share of the densest stretch's letters that another one needs on a page without a marked article.
+#: Share of the densest stretch's letters that one outside the article's container needs on a page
+#: without a marked article; all but this share of a stretch's letters stand in its container.
 FAIR = 0.1
 
 #: Elements by their role in HTML (fixed values).
@@ -39,6 +44,10 @@ NEVER = frozenset(
     "textarea input dialog menu object canvas audio video map noembed noframes fieldset".split()
 )
 ARTICLE = frozenset(("article", "main"))
+#: Blocks that are text of the block around them, and those that hold one paragraph each.
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 hgroup li ul ol dl dt dd blockquote pre figure figcaption table caption thead tbody tfoot tr address".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dt dd figcaption caption".split())
+PAGE = frozenset(("", "html", "body"))
 #: Roles and names that say what an element is not.
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 NAMES = re.compile(
@@ -82,11 +91,57 @@ def _excluded(tag: str, attributes: str, in_article: bool) -> bool:
     return any(NAMES.search(found.get(k, "")) for k in ("class", "id"))
 
 
+class Blocks:
+    """The block elements of a page in the order of their start tags; 0 stands for the page."""
+
+    def __init__(self) -> None:
+        self.tags, self.parents, self.last, self.leaf = [""], [0], [0], [True]
+
+    def open(self, tag: str, parent: int) -> int:
+        self.tags.append(tag)
+        self.parents.append(parent)
+        self.last.append(len(self.last))
+        self.leaf.append(True)
+        self.leaf[parent] = False
+        return len(self.tags) - 1
+
+    def container(self, block: int) -> int:
+        """The block itself, or the one around it if it holds a paragraph or a part of a text."""
+        if self.leaf[block] and self.tags[block] not in PAGE:
+            block = self.parents[block]
+        while self.tags[block] in PARTS:
+            block = self.parents[block]
+        return block
+
+    def innermost(self, weights: Iterator[tuple[int, int]]) -> int:
+        """The innermost block with all but a FAIR share of the weights given by block."""
+        sums: dict[int, int] = {}
+        for block, weight in weights:
+            sums[block] = sums.get(block, 0) + weight
+        least = (1 - FAIR) * sum(sums.values())
+        heap = [-block for block in sums]
+        heapq.heapify(heap)
+        while True:  # inner blocks have greater numbers, so a sum is complete when its turn comes
+            block = -heapq.heappop(heap)
+            if block == 0 or sums[block] >= least:
+                return block
+            parent = self.parents[block]
+            if parent not in sums:
+                sums[parent] = 0
+                heapq.heappush(heap, -parent)
+            sums[parent] += sums[block]
+
+    def holds(self, container: int, block: int) -> bool:
+        if self.tags[container] in PAGE:
+            return self.container(block) == container
+        return container <= block <= self.last[container]
+
+
 class Lines:
-    """Lines of a page as they are stripped: (text, letters outside links, inside the article)."""
+    """Lines of a page as they are stripped: (text, letters outside links, inside the article, block)."""
 
     def __init__(self) -> None:
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int, bool, int]] = []
         self.held: list[str] = []
         self.linked = 0
 
@@ -96,30 +151,34 @@ class Lines:
         if in_link:
             self.linked += len("".join(text.split()))
 
-    def end(self, in_article: bool) -> None:
+    def end(self, in_article: bool, block: int) -> None:
         if self.held:
             line = " ".join("".join(self.held).split())
             if line:
-                self.lines.append((line, len(line.replace(" ", "")) - self.linked, in_article))
+                self.lines.append((line, len(line.replace(" ", "")) - self.linked, in_article, block))
             self.held, self.linked = [], 0
 
     def gap(self) -> None:
-        self.lines.extend([("", 0, False)] * REACH)
+        self.lines.extend([("", 0, False, 0)] * REACH)
 
 
-def strip(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """(lines, whether the page marks an article)."""
-    out, marked = Lines(), False
-    stack: list[tuple[str, bool, bool]] = []  # open block elements: tag, excluded, article
+def strip(page: str) -> tuple[list[tuple[str, int, bool, int]], bool, Blocks]:
+    """(lines, whether the page marks an article, blocks)."""
+    out, marked, blocks = Lines(), False, Blocks()
+    stack: list[tuple[str, bool, bool, int]] = []  # open block elements: tag, excluded, article, number
     excluded = article = links = at = 0
 
     def close(upto: int) -> None:
         nonlocal excluded, article
         while len(stack) > upto:
-            _, out_of, is_article = stack.pop()
+            _, out_of, is_article, block = stack.pop()
+            blocks.last[block] = len(blocks.last) - 1
             excluded -= out_of
             article -= is_article
 
+    def inner() -> int:
+        return stack[-1][3] if stack else 0
+
     while at < len(page):
         found = _TOKEN.search(page, at)
         text = page[at : found.start()] if found else page[at:]
@@ -136,7 +195,7 @@ def strip(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         if found[1]:  # an end tag
             place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if tag not in INLINE and not excluded:
-                out.end(article > 0)
+                out.end(article > 0, inner())
             if place is not None:
                 close(place)
             continue
@@ -149,7 +208,7 @@ def strip(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             continue
         if not excluded:
             if tag not in INLINE:
-                out.end(article > 0)
+                out.end(article > 0, inner())
             if out_of and tag not in VOID and tag not in RAW and tag not in INLINE:
                 out.gap()
         if tag in RAW:
@@ -166,12 +225,14 @@ def strip(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 close(len(stack) - 1)
         is_article = not out_of and not excluded and (tag in ARTICLE or "articleBody" in found[3])
         marked |= is_article
-        stack.append((tag, out_of, is_article))
+        block = inner() if excluded or tag in INLINE else blocks.open(tag, inner())
+        stack.append((tag, out_of, is_article, block))
         excluded += out_of
         article += is_article
     if not excluded:
-        out.end(article > 0)
-    return out.lines, marked
+        out.end(article > 0, inner())
+    close(0)
+    return out.lines, marked, blocks
 
 
 def stretches(weights: list[int]) -> Iterator[tuple[int, int]]:
@@ -192,21 +253,26 @@ def stretches(weights: list[int]) -> Iterator[tuple[int, int]]:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    lines, marked = strip(page)
+    lines, marked, blocks = strip(page)
     if marked:
-        weights = [len(text) if inside else 0 for text, _, inside in lines]
-    else:
-        weights = [max(0, plain) if 2 * plain >= len(text.replace(" ", "")) else 0 for text, plain, _ in lines]
+        weights = [len(text) if inside else 0 for text, _, inside, _ in lines]
+        taken = {i for a, b in stretches(weights) for i in range(a, b) if weights[i]}
+        return "\n".join(lines[i][0] for i in sorted(taken))
+    weights = [max(0, plain) if 2 * plain >= len(text.replace(" ", "")) else 0 for text, plain, _, _ in lines]
     found = list(stretches(weights))
+    if not found:
+        return ""
     sums = [sum(weights[a:b]) for a, b in found]
-    least = 0 if marked else FAIR * max(sums, default=0)
-    return "\n".join(
-        lines[i][0]
-        for (a, b), total in zip(found, sums)
-        if total >= least
-        for i in range(a, b)
-        if weights[i]
-    )
+    held: dict[int, int] = {}
+    for (a, b), total in zip(found, sums):
+        container = blocks.container(blocks.innermost((lines[i][3], weights[i]) for i in range(a, b) if weights[i]))
+        held[container] = held.get(container, 0) + total
+    article = max(held, key=lambda c: (held[c], -c))
+    whole = blocks.tags[article] not in PAGE
+    counts = [bool(text) and (weight > 0 or blocks.tags[block] in PARAGRAPHS) for (text, _, _, block), weight in zip(lines, weights)]
+    taken = {i for (a, b), total in zip(found, sums) if total >= FAIR * max(sums) for i in range(a, b) if counts[i]}
+    taken |= {i for i, (text, _, _, block) in enumerate(lines) if text and (whole or counts[i]) and blocks.holds(article, block)}
+    return "\n".join(lines[i][0] for i in sorted(taken))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

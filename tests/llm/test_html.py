@@ -48,3 +48,19 @@ def test_whole_table(spark):
     for r in got:
         assert r["text"] == main_text(pages[r["page_id"]]["html"]) and r["n_chars"] == len(r["text"])
         assert "<script" not in r["text"] and all(line == " ".join(line.split()) for line in r["text"].split("\n"))
+
+
+def test_unmarked_article_with_blocks_inside():
+    long, short = "letters of the article " * 130, "a short ending of the same article"
+    linked = '<p><a href="r">The report that this article is about</a></p>'
+    inside = f"<h1>Title</h1><div class=share>Share</div><p>{long}</p><div class=ad>Buy</div>{linked}<div class=ad>Buy</div><p>{short}</p>"
+    text = f"Title\n{long.strip()}\nThe report that this article is about\n{short}"
+    far = "<div class=ad>x</div><div><p>Imprint of the site</p></div><ul><li><a href=a>Archive</a></ul>"
+    for page in (f"<div>{inside}</div>{far}", f"<body><div><div>{inside}</div></div>{far}</body>", f"<body>{inside}{far}</body>"):
+        assert main_text(page) == text
+    table = f"<table><tr><td><p><a href=a>Menu</a></p></td><td>{inside}</td></tr></table>"
+    assert main_text(table) == text
+    parts = "".join(f"<p>{c * 300}</p><div class=ad>x</div>" for c in "abcd")
+    other = f"<div><div class=ad>x</div><p>{'z' * 500}</p></div>"
+    assert main_text(f"<div>{parts}<h2>End</h2></div>{other}").split("\n")[4:] == ["End", "z" * 500]
+    assert main_text("<div>" * 3000 + inside + "</div>" * 3000) == text
