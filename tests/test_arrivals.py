@@ -35,3 +35,24 @@ def test_complete_lots_run_once_in_date_order(spark, tmp_path):
     assert drain() == []
     put(root, third, ("apostas", "transacoes"))
     assert drain() == [third]
+
+
+def test_a_lot_runs_when_its_last_folder_is_finished(spark, tmp_path):
+    root, seen = tmp_path / "lots", []
+
+    def drain():
+        seen.clear()
+        query = process_arrivals(spark, str(root), str(tmp_path / "state"), seen.append)
+        query.awaitTermination(120)
+        assert query.exception() is None
+        return list(seen)
+
+    put(root, LOT, ("apostadores", "eventos", "transacoes"))
+    folder = Path(lot_path(str(root), "apostas", LOT))
+    (folder / "_temporary").mkdir(parents=True)
+    (folder / "part-00000.csv").write_text("h\n")
+    assert drain() == [] and drain() == []
+    (folder / "_SUCCESS").touch()
+    assert drain() == [LOT]
+    put(root, NEXT)
+    assert drain() == [NEXT] and drain() == []
