@@ -214,29 +214,33 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def fit(docs: DataFrame) -> Network | None:
     """The network learnt from labelled rows outside the held-out quarter.
 
-    Languages and the sample's hash bound come from the narrow columns; only the sampled rows'
-    windows, `SAMPLE * WINDOWS` of 259 bytes at most, reach the driver."""
+    Every language gives the first rows by the hashes of doc_id and text, copies counted, so equal
+    inputs give equal samples whatever ties. The choice comes from narrow columns and has `SAMPLE`
+    rows at most, or one per language; only the windows of those rows, `WINDOWS` of 259 bytes each
+    at most, reach the driver."""
     learnable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    hashed = learnable.withColumn("_h", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    hashed = learnable.select(
+        "lang", "text", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_h"), F.xxhash64("text").alias("_t")
+    )
     labels = sorted(r["lang"] for r in hashed.select("lang").distinct().collect())
     if not labels:
         return None
     each = max(1, SAMPLE // len(labels))
-    first = Window.partitionBy("lang").orderBy("_h")
-    bounds = (
-        hashed.select("lang", "_h")
+    first = Window.partitionBy("lang").orderBy("_h", "_t")
+    chosen = (
+        hashed.select("lang", "_h", "_t")
         .withColumn("_r", F.row_number().over(first))
         .where(F.col("_r") <= each)
-        .groupBy("lang")
-        .agg(F.max("_h").alias("_bound"))
+        .groupBy("lang", "_h", "_t")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    bounds = docs.sparkSession.createDataFrame(bounds.collect(), bounds.schema)  # one row per language
+    chosen = docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
     taken = (
-        hashed.join(bounds, "lang")
-        .where("_h <= _bound")
+        hashed.join(F.broadcast(chosen), ["lang", "_h", "_t"])
+        .dropDuplicates(["lang", "_h", "_t"])
+        .select("lang", "text", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
         .select("lang", "text")
         .mapInArrow(_take_windows, "lang string, part binary")
-        .limit(SAMPLE * WINDOWS)
         .orderBy("lang", "part")
         .collect()
     )

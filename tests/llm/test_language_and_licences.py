@@ -5,6 +5,7 @@ import re
 import textwrap
 from collections import Counter
 
+from lotforge.llm import bytecnn
 from lotforge.llm.bytecnn import fit, languages, predict
 from lotforge.llm.licences import TEMPLATES, TERM, licences
 from lotforge.llm.queries import queries
@@ -160,3 +161,13 @@ def test_notices_wherever_they_stand(spark):
     files = [(i, f"{i}/x", text, False) for i, text in enumerate(texts)]
     got = licences(spark.createDataFrame(files, "doc_id long, path string, text string, is_licence_file boolean")).collect()
     assert {r["doc_id"]: r["licence"] for r in got} == dict(enumerate(texts.values()))
+
+
+def test_sample_of_rows_that_tie(spark, monkeypatch):
+    monkeypatch.setattr(bytecnn, "train", lambda windows, numbers, labels: (Counter(labels[i] for i in numbers), windows.tobytes()))
+    rows = [(None, f"text {'abcdefghij'[i % 10]} {i}", "en") for i in range(4_000)]
+    rows += [(1, "one and the same", "fr")] * 3_000 + [(None, f"wort {i}", "de") for i in range(10)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts, windows = fit(frame)
+    assert counts == {"en": bytecnn.SAMPLE // 3, "fr": bytecnn.SAMPLE // 3, "de": 10}
+    assert fit(frame.repartition(7)) == (counts, windows)
