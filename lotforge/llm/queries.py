@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from lotforge.llm.audit import audit
 from lotforge.llm.bytecnn import languages
 from lotforge.llm.common import read, ship
 from lotforge.llm.dartminhash import near_duplicates
@@ -96,6 +97,12 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences(files, 0.8)
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters do to the documents of every source, in each of their 120 orders."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return audit(docs, read(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -122,6 +129,7 @@ def queries() -> dict[str, Query]:
         op8_byte_cnn,
         op9_linear_grouping,
         op10_licences,
+        op13_filter_audit,
         pipeline,
     )
     return {query.__name__: _sent(query) for query in named}

@@ -73,5 +73,48 @@ counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, p.component_id,
   coalesce(e.vec_id = p.component_id, true) AS kept
 FROM embeddings e LEFT JOIN parts p ON p.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
+""",
+    "op13_filter_audit": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), m AS (
+  SELECT doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+    100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t) AS c,
+    regexp_matches(t, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+  FROM d
+), f AS (
+  SELECT part, a, b, c, d, e, count(*) AS n,
+    count(*) FILTER (EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = m.doc_id AND l.quality = 1)) AS good,
+    count(*) FILTER (EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = m.doc_id AND l.toxic = 1)) AS toxic
+  FROM m GROUP BY ALL
+), g AS (
+  SELECT part, n, good, toxic,
+    concat(CASE WHEN a THEN 'A' END, CASE WHEN b THEN 'B' END, CASE WHEN c THEN 'C' END,
+           CASE WHEN d THEN 'D' END, CASE WHEN e THEN 'E' END) AS fails
+  FROM f
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT concat(p.x, q.x, r.x, s.x, u.x) AS filter_order FROM x p, x q, x r, x s, x u
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, u.x])) = 5
+), steps AS (
+  SELECT filter_order, i::INTEGER AS step, filter_order[i] AS letter FROM o, unnest(range(1, 6)) AS r(i)
+), hits AS (
+  SELECT part, filter_order, step, letter, n, good, toxic, contains(fails, letter) AS here, fails = letter AS only_here,
+    len(list_filter(range(1, step), lambda j: contains(fails, filter_order[j]))) > 0 AS gone
+  FROM g, steps
+), told AS (
+  SELECT part, filter_order, step, letter,
+    coalesce(sum(n) FILTER (NOT here AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (here AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (here AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (only_here), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (here AND NOT gone), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (here AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM hits GROUP BY ALL
+)
+SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM told
 """,
 }
