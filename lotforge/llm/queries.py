@@ -19,6 +19,7 @@ from lotforge.llm.licences import licences
 from lotforge.llm.lineblocks import extract
 from lotforge.llm.lingroup import pack, word_vocabulary
 from lotforge.llm.pivots import near_vectors
+from lotforge.llm.prefixchat import digests, expand
 from lotforge.llm.sql import ORACLE
 from lotforge.llm.vafile import top_k
 from lotforge.llm.waterfill import mixture
@@ -97,6 +98,18 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences(files, 0.8)
 
 
+def op11_prefix_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as prefix-target examples, read back; with one that tries the markers."""
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tried = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    return digests(expand(turns.unionByName(tried)))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters do to the documents of every source, in each of their 120 orders."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -129,6 +142,7 @@ def queries() -> dict[str, Query]:
         op8_byte_cnn,
         op9_linear_grouping,
         op10_licences,
+        op11_prefix_chat,
         op13_filter_audit,
         pipeline,
     )

@@ -73,6 +73,26 @@ counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, p.component_id,
   coalesce(e.vec_id = p.component_id, true) AS kept
 FROM embeddings e LEFT JOIN parts p ON p.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
+""",
+    "op11_prefix_chat": r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL
+  SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) r(i)
+), s AS (
+  SELECT *, row_number() OVER w AS place, lead(0) OVER w IS NULL AS last,
+    sum(length(role) + length(regexp_replace(role, '[^\\<>]', '', 'g'))
+      + length(t) + length(regexp_replace(t, '[^\\<>]', '', 'g'))
+      + length('<turn >') + length('</turn>') + 1) OVER (w ROWS UNBOUNDED PRECEDING) AS upto
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, t)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY place)) AS turns_sha256,
+  coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(upto) FILTER (role = 'assistant' OR last)::BIGINT AS formatted_chars,
+  count(*) FILTER (role = 'assistant' OR last) AS n_examples
+FROM s GROUP BY conv_id
 """,
     "op13_filter_audit": r"""
 WITH d AS (
