@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from lotforge.llm.alignment import align_documents, public_paths
 from lotforge.llm.audit import audit
 from lotforge.llm.bytecnn import languages
 from lotforge.llm.common import read, ship
@@ -110,6 +111,12 @@ def op11_prefix_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(expand(turns.unionByName(tried)))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens that two tokenizers give every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return align_documents(docs, *public_paths())
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters do to the documents of every source, in each of their 120 orders."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -143,6 +150,7 @@ def queries() -> dict[str, Query]:
         op9_linear_grouping,
         op10_licences,
         op11_prefix_chat,
+        op12_token_alignment,
         op13_filter_audit,
         pipeline,
     )
