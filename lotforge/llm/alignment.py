@@ -23,7 +23,8 @@ import hashlib
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,16 +34,16 @@ from pyspark.sql import functions as F
 from lotforge.llm.common import stored
 
 #: Words that a task's memory holds, and the longest that it takes; the same for parts of words.
-_MEMORY, _LONGEST = 1 << 18, 48
+_MEMORY, _LONGEST = 3 << 17, 48
 #: Characters of a piece of a long text, and documents that pass together.
 _PIECE, _DOCS = 1 << 18, 512
 #: A single space between characters that no tokenizer takes for white space.
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-#: Letters up to U+024F are letters for A's pattern. A word of these, of common marks and of single
-#: line feeds splits into A's parts where the kind changes.
-_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
-_PLAIN = re.compile(f"[{_LETTERS}.,;:!?](?:[{_LETTERS}.,;:!?]|\n(?=[{_LETTERS}.,;:!?]))*")
-_PARTS = re.compile(f" ?[{_LETTERS}]+| ?[.,;:!?]+|\n")
+#: Letters up to U+024F, digits and ASCII marks but the apostrophe, which begins contractions. A word
+#: of these and of single line feeds splits into A's parts where the kind changes.
+_LETTERS, _MARKS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(f"[{_LETTERS}0-9{_MARKS}](?:[{_LETTERS}0-9{_MARKS}]|\n(?=[{_LETTERS}0-9{_MARKS}]))*")
+_PARTS = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
 
 
 def byte_letters() -> list[str]:
@@ -73,17 +74,17 @@ class Tokenizers:
         self.bytes_b = [self._piece(number) for number in range(self.b.get_piece_size())]
         if any(b" " in piece.lstrip(b" ") for piece in self.bytes_b):
             raise ValueError("a piece of B goes on after a space, so its words depend on each other")
-        self.parts: dict[str, tuple[int, ...]] = {}
+        self.parts: dict[str, list[int]] = {}
 
     def _piece(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
         return bytes([int(piece[1:-1], 16)]) if self.b.is_byte(number) else piece.replace("▁", " ").encode()
 
-    def _part(self, part: str) -> tuple[int, ...]:
+    def _part(self, part: str) -> list[int]:
         ids = self.parts.get(part)
         if ids is None:
             written = part.encode().decode("latin-1").translate(self.written)
-            ids = tuple(token.id for token in self.a.model.tokenize(written))
+            ids = [token.id for token in self.a.model.tokenize(written)]
             if len(part) <= _LONGEST:
                 if len(self.parts) >= _MEMORY:
                     self.parts.clear()
@@ -96,7 +97,8 @@ class Tokenizers:
         rest = []
         for place, word in enumerate(words):
             if _PLAIN.fullmatch(word):
-                result.append([number for part in _PARTS.findall(" " + word) for number in self._part(part)])
+                parts = _PARTS.findall(" " + word)
+                result.append(self._part(parts[0]) if len(parts) == 1 else [x for part in parts for x in self._part(part)])
             else:
                 result.append([])
                 rest.append(place)
@@ -110,9 +112,6 @@ class Tokenizers:
         return self.b.encode(words, num_threads=1) if words else []
 
 
-    def ids(self, text: str) -> tuple[list[int], list[int]]:
-        return self.ids_a([text])[0], self.ids_b([text])[0]
-
     def give_back(self, text: str, a: list[int], b: list[int]) -> bool:
         """Whether the bytes of both sides are those of space and text."""
         whole = b" " + text.encode()
@@ -135,44 +134,17 @@ def linkable(tokens: Tokenizers) -> np.ndarray:
     return np.array(sorted(pairs), dtype=np.int64)
 
 
-def ends(ids: list[int], table: list[bytes]) -> list[int]:
-    at, result = 0, []
-    for number in ids:
-        at += len(table[number])
-        result.append(at)
-    return result
-
-
-def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int]]]:
-    """Groups as index ranges (a from, to, b from, to), and links as index pairs."""
-    last_a = {end: index for index, end in enumerate(ends_a)}  # of tokens without bytes the last
-    last_b = {end: index for index, end in enumerate(ends_b)}
-    groups, links, a, b = [], [], 0, 0
-    for end in sorted(last_a.keys() & last_b.keys()):
-        to_a, to_b = last_a[end] + 1, last_b[end] + 1
-        groups.append((a, to_a, b, to_b))
-        for i in range(to_a - 1, a - 1, -1):
-            if ends_a[i] != end:
-                break
-            for j in range(to_b - 1, b - 1, -1):
-                if ends_b[j] != end:
-                    break
-                links.append((i, j))
-        a, b = to_a, to_b
-    return groups, links
-
-
-@dataclass(frozen=True, slots=True)
-class Word:
+class Word(NamedTuple):
     a: int
     b: int
     groups: int
-    text: str
+    text: bytes
     #: Numbers of the linked pairs, 32 bits each.
     links: bytes
     #: White space at an edge (or an empty word): the spaces beside it are not between words.
     edge: bool
-    #: The bytes of a side are not the word's.
+    #: The bytes of a side are not the word's. Both sides write every character by itself, so the
+    #: bytes of a text with such a word are not the text's either.
     odd: bool
 
 
@@ -191,7 +163,7 @@ class Text:
         self.a += sum([w.a for w in found])
         self.b += sum([w.b for w in found])
         self.groups += sum([w.groups for w in found])
-        self.digest.update(";".join([w.text for w in found]).encode())
+        self.digest.update(b";".join([w.text for w in found]))
         self.links.append(b"".join([w.links for w in found]))
         self.odd = self.odd or any([w.odd for w in found])
 
@@ -203,31 +175,64 @@ class Aligner:
         self.tokens = Tokenizers(path_a, path_b)
         self.pairs = linkable(self.tokens)
         self.words: dict[str, Word] = {}
+        tables = self.tokens.bytes_a, self.tokens.bytes_b
+        self.lengths = [np.array([len(token) for token in table]) for table in tables]
+        #: Ids as text with what follows them inside a group and at the end of their side of it.
+        self.inside = [np.array([b"%d," % i for i in range(len(table))], dtype=object) for table in tables]
+        self.closing = [
+            np.array([b"%d%s" % (i, mark) for i in range(len(table))], dtype=object)
+            for table, mark in zip(tables, (b"|", b";"))
+        ]
 
     def _learn(self, words: list[str]) -> dict[str, Word]:
-        table_a, table_b = self.tokens.bytes_a, self.tokens.bytes_b
-        size, learnt, codes = len(table_b), [], []
-        for word, a, b in zip(words, self.tokens.ids_a(words), self.tokens.ids_b(words)):
-            groups, links = align(ends(a, table_a), ends(b, table_b))
-            codes += [a[i] * size + b[j] for i, j in links]
-            text = ";".join([f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}" for i, j, k, m in groups])
-            odd = not self.tokens.give_back(word, a, b)
+        """Entries of new words, aligned in one go over their bytes in a row."""
+        tokens = self.tokens
+        ids = tokens.ids_a(words), tokens.ids_b(words)
+        odd = [False] * len(words)
+        if not tokens.give_back(" ".join(words), *(list(chain.from_iterable(side)) for side in ids)):
+            odd = [not tokens.give_back(*of_word) for of_word in zip(words, *ids)]
+            ids = tuple([[] if o else of_word for o, of_word in zip(odd, side)] for side in ids)
+        counts = [np.fromiter(map(len, side), np.int64, len(words)) for side in ids]
+        flat = [np.fromiter(chain.from_iterable(side), np.int64, n.sum()) for side, n in zip(ids, counts)]
+        ends = [np.cumsum(table[side]) for table, side in zip(self.lengths, flat)]
+        places = [{end: index for index, end in enumerate(side.tolist())} for side in ends]
+        shared = sorted(places[0].keys() & places[1].keys())
+        common = np.array(shared, dtype=np.int64)
+        last = [np.array([index[end] for end in shared], dtype=np.int64) for index in places]
+        codes = flat[0][last[0]] * len(tokens.bytes_b) + flat[1][last[1]]
+        links = np.searchsorted(self.pairs, codes).astype("<i4").tobytes()
+        # a group is written as its ids of A, then those of B
+        group = [np.searchsorted(common, side) for side in ends]
+        before = [np.r_[0, last[1] + 1], last[0] + 1]  # tokens of the other side written earlier
+        parts = np.empty(len(flat[0]) + len(flat[1]), dtype=object)
+        for side in (0, 1):
+            written = self.inside[side][flat[side]]
+            written[last[side]] = self.closing[side][flat[side][last[side]]]
+            parts[np.arange(len(flat[side])) + before[side][group[side]]] = written
+        parts = parts.tolist()
+        sums = [np.r_[0, np.cumsum(n)] for n in counts]
+        cuts = (sums[0] + sums[1]).tolist()
+        borders = np.searchsorted(last[0], sums[0]).tolist()  # of groups, by word
+        n_a, n_b = (n.tolist() for n in counts)
+        result = {}
+        for i, word in enumerate(words):
+            first, end = borders[i], borders[i + 1]
+            text = b"".join(parts[cuts[i] : cuts[i + 1]])[:-1]
             edge = not word or word[0].isspace() or word[-1].isspace()
-            learnt.append((len(a), len(b), len(groups), text, len(links), edge, odd))
-        places = np.searchsorted(self.pairs, np.array(codes, dtype=np.int64)).astype("<i4").tobytes()
-        result, at = {}, 0
-        for word, (a, b, groups, text, links, edge, odd) in zip(words, learnt):
-            result[word] = Word(a, b, groups, text, places[at : at + 4 * links], edge, odd)
-            at += 4 * links
+            result[word] = Word(n_a[i], n_b[i], end - first, text, links[4 * first : 4 * end], edge, odd[i])
         return result
 
     def _find(self, lists: list[list[str]]) -> list[list[Word]]:
-        if len(self.words) >= _MEMORY:
-            self.words.clear()
         known = self.words
-        fresh = self._learn(list({w for words in lists for w in words if w not in known}))
-        known.update((w, entry) for w, entry in fresh.items() if len(w) <= _LONGEST)
-        return [[known[w] if w in known else fresh[w] for w in words] for words in lists]
+        if len(known) >= _MEMORY:
+            known.clear()
+        new = list(set().union(*lists).difference(known))
+        known.update(self._learn(new))
+        found = [list(map(known.__getitem__, words)) for words in lists]
+        for word in new:
+            if len(word) > _LONGEST:
+                del known[word]
+        return found
 
     def _align(self, pieces: list[tuple[Text, str]]) -> None:
         lists = [piece.split(" ") for _, piece in pieces]
@@ -255,7 +260,7 @@ class Aligner:
                 pieces, size = [], 0
         self._align(pieces)
         for result, text in zip(results, texts):
-            if not text or result.odd and not self.tokens.give_back(text, *self.tokens.ids(text)):
+            if not text or result.odd:
                 yield 0, 0, 0, "", np.zeros(0, "<i4")
             else:
                 links = np.frombuffer(b"".join(result.links), dtype="<i4")
