@@ -8,10 +8,12 @@ Jaccard similarity. Time is walked in slabs until each coordinate has a dart, so
 sees a short stretch of time and a short one a long stretch, and the work per document is one hash
 per cell and slab plus about k log k darts.
 
-Candidates share one of 32 bands of 4 coordinates. They are settled in two rounds without pairing
-all members of a band: first each member with the band's smallest, verified; then, where the
-components so far still differ, members of one band that agree in enough coordinates, each pair in
-its first common band only, verified too. Verification is the exact weighted Jaccard of the texts.
+Candidates share one of 32 bands of 4 coordinates. They are settled in two rounds without returning
+all pairs of a band: first each member with the band's smallest, verified; then, where the
+components so far still differ, the members meet block by block inside tasks, with their cells, and
+those that agree in enough coordinates are verified there, each pair in its first common band only.
+Pairs already joined are passed over, and what a task returns is a spanning forest: the links that
+joined two components. Verification is the exact weighted Jaccard of the texts.
 At similarity 0.8 a pair misses all bands with probability 5e-8 and the agreement bound with 4e-6.
 
 Words are maximal runs of characters other than space, tab, LF, VT, FF and CR. Null texts and texts
@@ -37,6 +39,8 @@ COORDINATES, ROWS_PER_BAND = 128, 4
 BANDS = COORDINATES // ROWS_PER_BAND
 #: Coordinates that a candidate pair of the second round must share.
 AGREE = 82
+#: Members of a band that are compared in one task; a larger band is dealt into pairs of blocks.
+BLOCK = 1024
 #: Documents, and bytes of them, that one vectorised pass takes.
 _DOCS, _BYTES = 512, 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
@@ -171,53 +175,112 @@ def _verify(least: float):
     return run
 
 
-def _band_pairs(agree: int):
-    """Pairs of one band's members in different components that agree in `agree` coordinates and
-    in no earlier band. Rows come sorted by band; blocks keep the comparison in bounded memory."""
-
-    def pairs(node: np.ndarray, component: np.ndarray, sig: np.ndarray, band: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        block = 64
-        for i in range(0, len(node), block):
-            for j in range(i, len(node), block):
-                match = sig[i : i + block, None, :] == sig[None, j : j + block, :]
-                bands = match[:, :, : band * ROWS_PER_BAND].reshape(*match.shape[:2], band, ROWS_PER_BAND)
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sorted cells of every text, as bytes."""
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        found = []
+        for start, end in _groups(texts):
+            doc, cell = cells(texts[start:end])
+            order = np.lexsort((cell, doc))
+            cuts = np.searchsorted(doc, np.arange(1, end - start))
+            found += [part.tobytes() for part in np.split(cell[order], cuts)]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "cells"])
+
+
+def _alike(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Exact weighted Jaccard similarity of sorted cells to several others."""
+    sizes = np.array([len(o) for o in others])
+    every = np.concatenate(others)
+    place = np.minimum(np.searchsorted(one, every), len(one) - 1)
+    both = np.add.reduceat(one[place] == every, np.r_[0, np.cumsum(sizes)[:-1]])
+    return both / (len(one) + sizes - both)
+
+
+def _forests(least: float, agree: int):
+    """Links between members of one band that join components that are still apart: for every
+    group of rows a spanning forest, so never more links than members.
+
+    Members are compared 64 by 64. A pair counts that agrees in `agree` coordinates and in no
+    earlier band, lies in components not joined yet, and whose cells verify it."""
+
+    def links(rows: dict[str, np.ndarray], sig: np.ndarray, body: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while x != root.setdefault(x, x):
+                root[x] = x = root[root[x]]
+            return x
+
+        component, mine, band = rows["component"], rows["mine"], int(rows["band"][0])
+        sizes = np.array([len(b) for b in body])
+        if rows["lo"][0] == rows["hi"][0]:
+            left = right = np.arange(len(component))
+        else:
+            left, right = np.flatnonzero(mine == rows["lo"]), np.flatnonzero(mine == rows["hi"])
+        for i in range(0, len(left), 64):
+            x = left[i : i + 64]
+            for j in range(i if left is right else 0, len(right), 64):
+                y = right[j : j + 64]
+                match = sig[x][:, None, :] == sig[y][None, :, :]
+                bands = match[:, :, : band * ROWS_PER_BAND].reshape(len(x), len(y), band, ROWS_PER_BAND)
                 fits = (match.sum(axis=2) >= agree) & ~bands.all(axis=3).any(axis=2)
-                fits &= component[i : i + block, None] != component[None, j : j + block]
-                if i == j:
+                fits &= component[x][:, None] != component[y][None, :]
+                small, large = np.minimum(sizes[x][:, None], sizes[y][None]), np.maximum(sizes[x][:, None], sizes[y][None])
+                fits &= small >= least * large - 1e-9
+                if left is right and i == j:
                     fits = np.triu(fits, 1)
-                x, y = np.nonzero(fits)
-                yield node[i + x], node[j + y]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if rest is not None:
-                table = pa.concat_tables([rest, table])
-            keys = table.column("key").to_numpy()
-            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-            done = int(cuts[-1]) if len(cuts) else 0
-            yield from settle(table.slice(0, done))
-            rest = table.slice(done)
-        if rest is not None:
-            yield from settle(rest)
+                for a in np.flatnonzero(fits.any(axis=1)):
+                    own = find(int(component[x[a]]))
+                    apart = [b for b in y[np.flatnonzero(fits[a])] if find(int(component[b])) != own]
+                    if not apart:
+                        continue
+                    for b in np.array(apart)[_alike(body[x[a]], [body[b] for b in apart]) >= least - 1e-12]:
+                        one, other = find(int(component[x[a]])), find(int(component[b]))
+                        if one != other:
+                            root[max(one, other)] = min(one, other)
+                            yield int(rows["node"][x[a]]), int(rows["node"][b])
 
     def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        if not table.num_rows:
-            return
-        keys = table.column("key").to_numpy()
-        node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
-        band = table.column("band").to_numpy()
+        names = ("node", "component", "band", "lo", "hi", "mine")
+        columns = {n: table.column(n).to_numpy() for n in names}
         sig = table.column("sig").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
-        cuts = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
+        body = [np.frombuffer(c, dtype=U) for c in table.column("cells").to_pylist()]
+        cuts = np.r_[0, _starts(table), table.num_rows]
         for start, end in zip(cuts[:-1], cuts[1:]):
-            for a, b in pairs(node[start:end], component[start:end], sig[start:end], int(band[start])):
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            found = list(links({n: c[start:end] for n, c in columns.items()}, sig[start:end], body[start:end]))
+            if found:
+                a, b = np.array(found, dtype=np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cuts = _starts(batch)
+            if held and any(held[-1].column(n)[-1] != batch.column(n)[0] for n in ("key", "lo", "hi")):
+                cuts = np.r_[0, cuts]
+            if len(cuts):
+                last = int(cuts[-1])
+                whole = pa.Table.from_batches([*held, batch.slice(0, last)])
+                if whole.num_rows:
+                    yield from settle(whole)
+                held = []
+                batch = batch.slice(last)
+            held.append(batch)
+        if held:
+            yield from settle(pa.Table.from_batches(held))
 
     return run
 
 
+def _starts(rows: pa.RecordBatch | pa.Table) -> np.ndarray:
+    """Places where a group of sorted rows begins, but for the first."""
+    groups = np.stack([rows.column(n).to_numpy() for n in ("key", "lo", "hi")])
+    return np.flatnonzero((groups[:, 1:] != groups[:, :-1]).any(axis=0)) + 1
+
+
 def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """doc_id, component_id (smallest doc_id of its class) and kept for every row of `docs`, with
     the text's key t1, t2."""
@@ -252,17 +315,26 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     first = stored(verified(stars), "links")
     so_far = components(first)
     open_bands = members.join(so_far, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = open_bands.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed = mixed.where("lo < hi").drop("lo", "hi")
-    rest = (
-        open_bands.join(mixed, ["band", "key"])
+    mixed = open_bands.groupBy("band", "key").agg(
+        F.min("component").alias("least_of"), F.max("component").alias("most_of"), F.count(F.lit(1)).alias("n")
+    )
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    mixed = mixed.where("least_of < most_of").select("band", "key", blocks.alias("blocks"))
+    rest = open_bands.join(mixed, ["band", "key"]).withColumn("mine", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    rest = stored(rest.select("key", "band", "node", "component", "mine", "blocks"), "open")
+    known = bodies.join(rest.select("node").distinct(), "node", "left_semi")
+    known = stored(known.mapInArrow(_cells, "node long, cells binary"), "cells")
+    second = stored(
+        rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")})
+        .drop("other", "blocks")
         .join(distinct.select("node", "sig"), "node")
-        .select("key", "band", "node", "component", "sig")
-        .repartition("key")
-        .sortWithinPartitions("key", "band")
-        .mapInArrow(_band_pairs(AGREE), "a long, b long")
+        .join(known, "node")
+        .repartition("key", "lo", "hi")
+        .sortWithinPartitions("key", "lo", "hi")
+        .mapInArrow(_forests(least, AGREE), "a long, b long"),
+        "links",
     )
-    second = stored(verified(rest), "links")
     classes = components(first.union(second))
     component = F.coalesce("component", "node", "doc_id")
     return (

@@ -6,6 +6,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from lotforge.llm import dartminhash
 from lotforge.llm.dartminhash import cells, near_duplicates, signatures
 from lotforge.llm.pivots import near_vectors
 from lotforge.llm.queries import queries
@@ -68,6 +69,22 @@ def test_a_crowd_of_almost_near_texts(spark):
     assert got == classes(docs)
 
 
+def test_crowds_are_dealt_into_blocks(spark, monkeypatch):
+    """Many texts around a few centres, most pairs just below the bound, in blocks of seven."""
+    monkeypatch.setattr(dartminhash, "BLOCK", 7)
+    rng = random.Random(3)
+    docs = []
+    for centre in range(3):
+        base = [f"c{centre}w{i}" for i in range(150)]
+        for i in range(70):
+            words = list(base)
+            for at in rng.sample(range(150), rng.choice((1, 2, 3, 4, 5, 6))):
+                words[at] = f"n{rng.randint(0, 10**6)}"
+            docs.append((centre * 1000 + i, " ".join(words)))
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == classes(docs)
+
+
 def test_nulls_and_repeated_rows(spark):
     rows = [(1, None), (2, ""), (None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (4, "a b c d e f")]
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
