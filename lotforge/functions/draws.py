@@ -9,11 +9,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SLOTS = 4
+#: Bits of a word, as hexadecimal digits of a digest, and words that one digest gives.
+DIGITS, SLOTS = 15, 2
+_RANGE = 1 << (4 * DIGITS)
+
+
+def scaled(word: Column, bound: int | Column) -> Column:
+    """A word as a number below `bound` (less than 10^18): the high part of their product.
+
+    Every number is as likely as any other but for one part in 2^60 / bound.
+    """
+    limit = F.lit(bound) if isinstance(bound, int) else bound
+    product = word.cast("decimal(19,0)") * limit.cast("decimal(18,0)")
+    return F.call_function("div", product, F.lit(_RANGE).cast("decimal(19,0)"))
 
 
 class Draws:
-    """Independent 32-bit draws for the rows identified by `key`."""
+    """Independent 60-bit draws for the rows identified by `key`."""
 
     def __init__(self, seed: int, label: str, key: Column) -> None:
         self._stem, self._key = f"{seed}|{label}", key
@@ -23,18 +35,18 @@ class Draws:
 
     def word(self, number: int) -> Column:
         block, slot = divmod(number, SLOTS)
-        return F.conv(F.substring(self.digest(block), 8 * slot + 1, 8), 16, 10).cast("bigint")
+        return F.conv(F.substring(self.digest(block), 16 * slot + 1, DIGITS), 16, 10).cast("bigint")
 
     def below(self, number: int, bound: int | Column) -> Column:
-        return self.word(number) % bound
+        return scaled(self.word(number), bound)
 
     def between(self, number: int, low: int, high: int) -> Column:
         return self.below(number, high - low + 1) + low
 
     def cents(self, number: int, low: int, high: int, kind: str) -> Column:
         """A two-decimal amount between two bounds given in cents."""
-        scaled = self.between(number, low, high).cast("decimal(14,0)")
-        return (scaled / 100).cast(kind)
+        amount = self.between(number, low, high).cast("decimal(14,0)")
+        return (amount / 100).cast(kind)
 
     def pick(self, number: int, values: tuple[str, ...]) -> Column:
         options = F.array(*map(F.lit, values))

@@ -683,13 +683,18 @@ def core_oracle() -> dict[str, str]:
 
 
 def _word(seed: int, label: str, key: str, number: int) -> str:
-    block, slot = divmod(number, 4)
+    block, slot = divmod(number, 2)
     text = f"'{seed}|{label}|{block}|' || CAST({key} AS VARCHAR)"
-    return f"CAST('0x' || substr(md5({text}), {8 * slot + 1}, 8) AS BIGINT)"
+    return f"CAST('0x' || substr(md5({text}), {16 * slot + 1}, 15) AS BIGINT)"
+
+
+def _below(word: str, bound: int | str) -> str:
+    """A 60-bit word as a number below a bound."""
+    return f"CAST(CAST({word} AS HUGEINT) * {bound} // {1 << 60} AS BIGINT)"
 
 
 def _cents(word: str, low: int, high: int, kind: str) -> str:
-    return f"CAST(({word} % {high - low + 1} + {low}) / 100.0 AS DECIMAL({kind}))"
+    return f"CAST(({_below(word, high - low + 1)} + {low}) / 100.0 AS DECIMAL({kind}))"
 
 
 def _lists(*values: str) -> str:
@@ -707,11 +712,11 @@ _TEAMS = tuple(TEAMS[sport] for sport in _SPORTS)
 
 
 def _event_day(key: str, day: str) -> str:
-    return f"(DATE '{day}' + CAST({_word(42, 'evento', key, 0)} % 26 - 10 AS INTEGER))"
+    return f"(DATE '{day}' + CAST({_below(_word(42, 'evento', key, 0), 26)} - 10 AS INTEGER))"
 
 
 def _second(word: str, day: str) -> str:
-    return f"(TIMESTAMP '{day} 00:00:00' + to_seconds({word} % 86400))"
+    return f"(TIMESTAMP '{day} 00:00:00' + to_seconds({_below(word, 86400)}))"
 
 
 def _generated(day: str, suffix: str = "") -> str:
@@ -720,25 +725,25 @@ def _generated(day: str, suffix: str = "") -> str:
     event = lambda n: _word(42, "evento", "p_partkey", n)
     cash = lambda n: _word(42, "transacao", "event_id", n)
     registered = (
-        f"(DATE '2024-01-01' + CAST({_word(42, 'apostador', 'c_custkey', 0)} % 731 AS INTEGER))"
+        f"(DATE '2024-01-01' + CAST({_below(_word(42, 'apostador', 'c_custkey', 0), 731)} AS INTEGER))"
     )
     nested = lambda groups: "[" + ", ".join(_lists(*g) for g in groups) + "]"
     return f"""
 ger_apostadores{suffix} AS (
   SELECT 'APT' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS apostador_id,
          {registered} AS criado_em,
-         {_STATES}[{_word(42, "apostador", "c_custkey", 1)} % 23 + 1] AS estado,
+         {_STATES}[{_below(_word(42, "apostador", "c_custkey", 1), 23)} + 1] AS estado,
          CAST({registered} AS TIMESTAMP) AS atualizado_em
   FROM customer
 ),
 ger_eventos{suffix} AS (
   SELECT 'EVT{compact}' || lpad(CAST(p_partkey AS VARCHAR), 5, '0') AS evento_id,
-         {_lists(*_SPORTS)}[s] AS esporte, ligas[liga % len(ligas) + 1] AS campeonato,
-         times[casa % len(times) + 1] AS time_casa,
-         times[(casa + 1 + passo % (len(times) - 1)) % len(times) + 1] AS time_visitante,
+         {_lists(*_SPORTS)}[s] AS esporte, ligas[{_below("liga", "len(ligas)")} + 1] AS campeonato,
+         times[{_below("casa", "len(times)")} + 1] AS time_casa,
+         times[({_below("casa", "len(times)")} + 1 + {_below("passo", "(len(times) - 1)")}) % len(times) + 1] AS time_visitante,
          {_event_day("p_partkey", day)} AS data_evento, atualizado_em
   FROM (SELECT *, {nested(_TEAMS)}[s] AS times, {nested(_LEAGUES)}[s] AS ligas
-        FROM (SELECT p_partkey, {event(1)} % 5 + 1 AS s, {event(2)} AS casa, {event(3)} AS passo,
+        FROM (SELECT p_partkey, {_below(event(1), 5)} + 1 AS s, {event(2)} AS casa, {event(3)} AS passo,
                      {event(4)} AS liga, {_second(event(5), day)} AS atualizado_em FROM part))
 ),
 ger_apostas{suffix} AS (
@@ -750,22 +755,22 @@ ger_apostas{suffix} AS (
          CASE WHEN status = 'ganha' THEN CAST(valor_apostado * odd AS DECIMAL(12,2))
               ELSE CAST(0 AS DECIMAL(12,2)) END AS premio_pago,
          atualizado_em, evento
-  FROM (SELECT o_orderkey, {bet(0)} % (SELECT count(*) FROM part) AS evento,
-               {bet(1)} % (SELECT count(*) FROM customer) AS apostador,
-               {bet(2)} % 11 - 10 AS antes,
+  FROM (SELECT o_orderkey, {_below(bet(0), "(SELECT count(*) FROM part)")} AS evento,
+               {_below(bet(1), "(SELECT count(*) FROM customer)")} AS apostador,
+               {_below(bet(2), 11)} - 10 AS antes,
                {_cents(bet(3), 500, 50000, "12,2")} AS valor_apostado,
                {_cents(bet(4), 120, 800, "8,2")} AS odd,
-               CASE WHEN {bet(5)} % 100 < 28 THEN 'ganha' WHEN {bet(5)} % 100 < 80 THEN 'perdida'
-                    WHEN {bet(5)} % 100 < 95 THEN 'pendente' ELSE 'cancelada' END AS status,
+               CASE WHEN {_below(bet(5), 100)} < 28 THEN 'ganha' WHEN {_below(bet(5), 100)} < 80 THEN 'perdida'
+                    WHEN {_below(bet(5), 100)} < 95 THEN 'pendente' ELSE 'cancelada' END AS status,
                {_second(bet(6), day)} AS atualizado_em
         FROM orders)
 ),
 ger_transacoes{suffix} AS (
   SELECT 'TRX{compact}' || lpad(CAST(event_id AS VARCHAR), 7, '0') AS transacao_id,
-         'APT' || lpad(CAST({cash(2)} % (SELECT count(*) FROM customer) AS VARCHAR), 7, '0') AS apostador_id,
+         'APT' || lpad(CAST({_below(cash(2), "(SELECT count(*) FROM customer)")} AS VARCHAR), 7, '0') AS apostador_id,
          DATE '{day}' AS data_transacao,
-         CASE WHEN {cash(0)} % 2 = 0 THEN 'deposito' ELSE 'saque' END AS tipo,
-         CASE WHEN {cash(0)} % 2 = 0 THEN {_cents(cash(1), 2000, 80000, "12,2")}
+         CASE WHEN {_below(cash(0), 2)} = 0 THEN 'deposito' ELSE 'saque' END AS tipo,
+         CASE WHEN {_below(cash(0), 2)} = 0 THEN {_cents(cash(1), 2000, 80000, "12,2")}
               ELSE {_cents(cash(1), 5000, 150000, "12,2")} END AS valor,
          {_second(cash(3), day)} AS atualizado_em
   FROM events
@@ -775,15 +780,15 @@ ger_transacoes{suffix} AS (
 def _dirtied(day: str, suffix: str = "") -> str:
     draw = lambda n: _word(43, "defeito", "aposta_id", n)
     order = "md5('43|defeito|0|' || aposta_id), aposta_id"
-    blank = lambda i: f"pos >= d AND pos < d + n AND {draw(7)} % 5 = {i}"
+    blank = lambda i: f"pos >= d AND pos < d + n AND {_below(draw(7), 5)} = {i}"
     value = (
-        f"CASE WHEN pos >= d + n AND pos < d + n + v THEN CASE WHEN {draw(4)} % 2 = 0"
+        f"CASE WHEN pos >= d + n AND pos < d + n + v THEN CASE WHEN {_below(draw(4), 2)} = 0"
         f" THEN CAST(0 AS DECIMAL(12,2)) ELSE -{_cents(draw(5), 100, 30000, '12,2')} END"
         " ELSE valor_apostado END"
     )
     date = (
         f"CASE WHEN pos >= d + n + v AND pos < d + n + v + t THEN {_event_day('evento', day)}"
-        f" + CAST({draw(6)} % 5 + 1 AS INTEGER) ELSE data_aposta END"
+        f" + CAST({_below(draw(6), 5)} + 1 AS INTEGER) ELSE data_aposta END"
     )
     return f"""
 ordenadas{suffix} AS (
@@ -802,13 +807,14 @@ sujas{suffix} AS (
   UNION ALL
   SELECT aposta_id, apostador_id, evento_id, data_aposta,
          CAST(valor_apostado * {_cents(draw(8), 105, 150, "8,2")} AS DECIMAL(12,2)), odd, status,
-         premio_pago, atualizado_em + to_seconds({draw(9)} % 3600 + 1)
+         premio_pago, atualizado_em + to_seconds({_below(draw(9), 3600)} + 1)
   FROM ordenadas{suffix} WHERE pos < d
 )"""
 
 
-def _resolved_sql(day: str) -> str:
-    draw = lambda n: _word(42, f"resolucao|{day}", "pos", n)
+def _resolved_sql(earlier: str, day: str) -> str:
+    key = "aposta_id || '|' || CAST(valor_apostado AS VARCHAR)"
+    draw = lambda n: _word(42, f"resolucao|{earlier}|{day}", f"({key})", n)
     return f"""
 pendentes AS (
   SELECT *, row_number() OVER (ORDER BY aposta_id, valor_apostado, atualizado_em) - 1 AS pos,
@@ -820,7 +826,7 @@ resolvidas AS (
   SELECT aposta_id, apostador_id, evento_id, data_aposta, valor_apostado, odd, novo AS status,
          CASE WHEN novo = 'ganha' THEN CAST(valor_apostado * odd AS DECIMAL(12,2))
               ELSE CAST(0 AS DECIMAL(12,2)) END AS premio_pago, marca AS atualizado_em
-  FROM (SELECT *, CASE WHEN {draw(0)} % 100 < 35 THEN 'ganha' ELSE 'perdida' END AS novo,
+  FROM (SELECT *, CASE WHEN {_below(draw(0), 100)} < 35 THEN 'ganha' ELSE 'perdida' END AS novo,
                {_second(draw(1), day)} AS marca
         FROM pendentes WHERE pos < CAST(floor(total * 0.6) AS BIGINT))
 )"""
@@ -833,7 +839,7 @@ def _text_of(entity: str) -> str:
 def io_oracle() -> dict[str, str]:
     generated = _generated("2026-02-03")
     dirty = ",".join([generated, _dirtied("2026-02-03")])
-    resolved = ",".join([dirty, _resolved_sql("2026-02-04")])
+    resolved = ",".join([dirty, _resolved_sql("2026-02-03", "2026-02-04")])
     next_lot = ",".join(
         [resolved, _generated("2026-02-04", "_2"), _dirtied("2026-02-04", "_2")]
     )
