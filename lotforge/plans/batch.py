@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import partial
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -26,11 +27,25 @@ from lotforge.model import (
 )
 from lotforge.operators import checks
 from lotforge.operators.checks import Domain, table_check, violation_count
-from lotforge.operators.merge import merge_by_key, touched_lots
+from lotforge.operators.merge import merge_by_key
 from lotforge.operators.validate import clean, quarantine, union_all, validate
 from lotforge.plans import marts, quality
-from lotforge.plans.restage import Restaged, changed_parents, restage
+from lotforge.plans.keyed import (
+    build_fact_index,
+    build_key_index,
+    build_references,
+    changed_fact_index,
+    changed_references,
+    index_name,
+    is_index,
+    keys_in,
+    lots_filed,
+    lots_named,
+    reference_name,
+)
+from lotforge.plans.restage import Restaged, changed_parents, measures, restage
 from lotforge.sinks.store import LotStore, TableVersion
+from lotforge.sinks.zones import KEY, entries_of
 from lotforge.sources.csv_lots import lot_manifest, read_lot
 
 T = TypeVar("T")
@@ -162,12 +177,26 @@ def build_staging(
     changes: dict[str, DataFrame] = {}
     done: dict[str, Restaged] = {}
 
+    def whole(name: str) -> Restaged:
+        spec = specs[name]
+        rows = validate(store.open(raw[f"raw_{name}"]), spec, parents)
+        version = store.write_lots(f"validado_{name}", rows, measures(spec))
+        stored = store.open(version)
+        key = index_name(name)
+        jobs = {key: lambda: {key: build_key_index(store, stored, spec)}}
+        jobs["referencias"] = lambda: build_references(
+            store, stored, name, [link.key for link in spec.parents]
+        )
+        built = together(store.spark, jobs)
+        return Restaged(version, built[key] | built["referencias"], None, None)
+
     def validated(name: str) -> Restaged:
-        version, old = raw[f"raw_{name}"], staged.get(f"validado_{name}")
-        if old is None:
-            rows = validate(store.open(version), specs[name], parents)
-            return Restaged(store.write_lots(f"validado_{name}", rows), None, None)
-        return restage(store, specs[name], version, old, lot_date, parents, changes)
+        spec, old = specs[name], staged.get(f"validado_{name}")
+        needed = {index_name(name), *(reference_name(name, link.key) for link in spec.parents)}
+        if old is None or not needed <= staged.keys() or not measures(spec).keys() <= old.spans.keys():
+            return whole(name)
+        side_by_side = partial(together, store.spark)
+        return restage(store, spec, raw[f"raw_{name}"], staged, lot_date, parents, changes, side_by_side)
 
     for group in PARENTS_FIRST:
         done |= together(store.spark, {name: lambda n=name: validated(n) for name in group})
@@ -181,6 +210,8 @@ def build_staging(
         return written if lots is None else store.replace_lots(staged.get(table), written, lots)
 
     tables = {f"validado_{name}": result.version for name, result in done.items()}
+    for result in done.values():
+        tables |= result.indexes
     tables |= {
         f"quarentena_{name}": version
         for name, version in together(
@@ -210,27 +241,30 @@ def _named(name: str, counts: DataFrame) -> DataFrame:
 class Scope:
     """The rows of a table that a gate has to look at.
 
-    `fresh` are the rows of the batches written by this run, `others` those of batches whose files
-    are unchanged and passed the gate before (None when every batch was written). Rows among the
-    others need a second look only where what they refer to has changed.
+    `fresh` are the rows of the batches written by this run. Those of other batches, whose files are
+    unchanged, passed the gate before and need a second look only where a fresh row shares their key
+    or what they refer to has changed; indexes name the batches that can hold such rows, and
+    `open_others` opens those of them that are not fresh (None when every batch was written).
     """
 
     fresh: DataFrame
-    others: DataFrame | None
+    open_others: Callable[[set[str]], DataFrame] | None
 
-    def repeated_keys(self, key: str) -> DataFrame:
-        """Keys held more than once by the whole table, at least once in a fresh batch."""
+    def repeated_keys(self, key: str, lots: Callable[[DataFrame], set[str]] | None) -> DataFrame:
+        """Keys held more than once by the whole table, at least once in a fresh batch. `lots`
+        gives the batches that hold any of the listed keys."""
         keys = self.fresh.select(key)
-        if self.others is not None:
+        if self.open_others is not None and lots is not None:
             listed = keys.where(F.col(key).isNotNull()).distinct()
-            keys = keys.unionByName(self.others.select(key).join(listed, key, "left_semi"))
+            others = self.open_others(lots(listed.select(F.col(key).alias(KEY)))).select(key)
+            keys = keys.unionByName(others.join(listed, key, "left_semi"))
         return checks.unique(keys, key)
 
-    def exposed(self, key: str, changed: DataFrame | None) -> DataFrame:
-        """Fresh rows and the other rows that refer to a changed parent."""
-        if self.others is None or changed is None:
+    def exposed(self, key: str, changed: DataFrame | None, lots: set[str]) -> DataFrame:
+        """Fresh rows and the rows of the batches `lots` that refer to a changed parent."""
+        if self.open_others is None or changed is None or not lots:
             return self.fresh
-        return self.fresh.unionByName(self.others.join(changed, key, "left_semi"))
+        return self.fresh.unionByName(self.open_others(lots).join(changed, key, "left_semi"))
 
 
 def _scope(
@@ -241,21 +275,31 @@ def _scope(
 ) -> Scope:
     if lots is None:
         return Scope(shape(store.open(version)), None)
-    unchanged = version.folders.keys() - lots
-    return Scope(shape(store.open(version, lots)), shape(store.open(version, unchanged)))
+    return Scope(
+        shape(store.open(version, lots)), lambda others: shape(store.open(version, others - lots))
+    )
 
 
-def _key_check(name: str, scope: Scope, key: str) -> DataFrame:
-    return violation_count(f"{name} unique {key}", scope.repeated_keys(key))
+def _key_check(
+    name: str, scope: Scope, key: str, lots: Callable[[DataFrame], set[str]] | None = None
+) -> DataFrame:
+    return violation_count(f"{name} unique {key}", scope.repeated_keys(key, lots))
 
 
 def _link_check(
-    name: str, scope: Scope, key: str, parent: DataFrame, changed: DataFrame | None
+    name: str, scope: Scope, key: str, parent: DataFrame, changed: DataFrame | None, lots: set[str]
 ) -> DataFrame:
-    missing = checks.relationships(scope.exposed(key, changed), key, parent, key)
+    missing = checks.relationships(scope.exposed(key, changed, lots), key, parent, key)
     return violation_count(f"{name} relationships {key}", missing)
 
 
+def _holding(
+    store: LotStore, tables: Mapping[str, TableVersion], entity: str
+) -> Callable[[DataFrame], set[str]]:
+    """The batches in which RAW holds any of the listed keys."""
+    return lambda keys: lots_named(entries_of(store, tables[index_name(entity)], keys))
+
+
 def staging_checks(
     store: LotStore, staged: Staged, specs: Mapping[str, EntitySpec] = ENTITIES
 ) -> list[DataFrame]:
@@ -269,10 +313,11 @@ def staging_checks(
         )
         rules = STAGING_FILLED[name], STAGING_DOMAINS[name]
         found.append(_named(name, table_check(scope.fresh, *rules)))
-        found.append(_key_check(name, scope, spec.key))
+        found.append(_key_check(name, scope, spec.key, _holding(store, staged.tables, name)))
         for link in spec.parents:
             parent, changed = relations[link.entity], staged.runs[link.entity].changed
-            found.append(_link_check(name, scope, link.key, parent, changed))
+            lots = staged.runs[name].exposed.get(link.key, set())
+            found.append(_link_check(name, scope, link.key, parent, changed, lots))
     rejected = union_all(
         [
             store.open(staged.tables[f"quarentena_{name}"], run.rewritten)
@@ -286,31 +331,62 @@ def staging_checks(
 # --- marts ---------------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Merged:
+    """A fact after a batch, its indexes, and the batch dates rewritten (None: all)."""
+
+    version: TableVersion
+    indexes: Mapping[str, TableVersion]
+    lots: set[str] | None
+
+
 def merge_fact(
     store: LotStore,
-    current: TableVersion | None,
+    current: Mapping[str, TableVersion],
     table: str,
     facts: DataFrame,
-    key: str,
     lot_date: dt.date,
-) -> tuple[TableVersion, set[str] | None]:
-    """The fact after this batch, and the batch dates rewritten (None: all).
+) -> Merged:
+    """The fact after this batch.
 
-    The first run takes all facts; later runs only this batch's. Rewritten are this batch and
-    those earlier ones that hold a key the batch brings again; every other batch keeps its stored
-    files. Rows of this batch that are gone from it vanish with its old partition.
+    The first run takes all facts; later runs only this batch's. The fact's index names the batches
+    that a key of this one is filed under; those and this one are rewritten, every other batch keeps
+    its stored files and is not opened. Rows of this batch that are gone from it vanish with its
+    old partition.
     """
-    if current is None:
-        return store.write_lots(table, facts), None
+    shape = FACTS[table]
+    spans = {shape.day: F.col(shape.day)}
+    index, references = index_name(table), [reference_name(table, c) for c in shape.references]
+    old = current.get(table)
+    if old is None or not {index, *references} <= current.keys() or shape.day not in old.spans:
+        version = store.write_lots(table, facts if old is None else _merged(store, old, facts, shape.key, lot_date), spans)
+        stored = store.open(version)
+        built = {index: build_fact_index(store, table, stored, shape.key)}
+        return Merged(version, built | build_references(store, stored, table, shape.references), None)
     updates = facts.where(F.col("lote_data") == F.lit(lot_date))
     day = lot_date.isoformat()
-    others = store.open(current, current.folders.keys() - {day})
-    touched = {
-        row["lote_data"].isoformat() for row in touched_lots(others, updates, key).collect()
+    filed = entries_of(store, current[index], keys_in(updates, shape.key).distinct())
+    lots = {day, *lots_filed(filed)}
+    rewritten = merge_by_key(store.open(old, lots - {day}), updates, shape.key)
+    written = store.write_lots(table, rewritten, spans)
+    version = store.replace_lots(old, written, lots)
+    before, after = store.open(old, lots), store.open(written, lots)
+    jobs = {
+        index: lambda: changed_fact_index(
+            store, current[index], shape.key, store.open(old, {day}), store.open(written, {day})
+        )
     }
-    rewritten = merge_by_key(store.open(current, touched), updates, key)
-    lots = {day, *touched}
-    return store.replace_lots(current, store.write_lots(table, rewritten), lots), lots
+    for name, column in zip(references, shape.references):
+        jobs[name] = lambda n=name, c=column: changed_references(store, current[n], c, before, after, lots)
+    return Merged(version, together(store.spark, jobs), lots)
+
+
+def _merged(
+    store: LotStore, old: TableVersion, facts: DataFrame, key: str, lot_date: dt.date
+) -> DataFrame:
+    """A whole fact after this batch, for a state that has no indexes yet."""
+    updates = facts.where(F.col("lote_data") == F.lit(lot_date))
+    return merge_by_key(store.open(old, old.folders.keys() - {lot_date.isoformat()}), updates, key)
 
 
 def affected_days(
@@ -327,13 +403,28 @@ def affected_days(
     return [row[0] for row in union_all(held).distinct().collect()]
 
 
+def rows_of_days(
+    store: LotStore, version: TableVersion, day_column: str, days: list[dt.date] | None
+) -> DataFrame:
+    """Rows of the given days (None: all). Only folders whose measured span includes one of the
+    days are opened."""
+    if days is None:
+        return store.open(version)
+    rows = store.open(version, version.may_hold(day_column, days))
+    return rows.join(_listed(store, day_column, days), day_column, "left_semi")
+
+
+def _listed(store: LotStore, day_column: str, days: list[dt.date]) -> DataFrame:
+    return store.spark.createDataFrame([(day,) for day in days], f"{day_column} date")
+
+
 def restate_days(
     store: LotStore,
     current: TableVersion | None,
     table: str,
     day_column: str,
     aggregate: Callable[[DataFrame], DataFrame],
-    facts: DataFrame,
+    facts: TableVersion,
     days: list[dt.date] | None,
 ) -> TableVersion:
     """A daily aggregate recomputed for the given days; the others keep their published rows.
@@ -342,10 +433,10 @@ def restate_days(
     changed.
     """
     if current is None or days is None:
-        return store.write_table(table, aggregate(facts))
-    affected = F.col(day_column).isin(days)
-    kept = store.open(current).where(~affected)
-    return store.write_table(table, kept.unionByName(aggregate(facts.where(affected))))
+        return store.write_table(table, aggregate(store.open(facts)))
+    kept = store.open(current).join(_listed(store, day_column, days), day_column, "left_anti")
+    restated = aggregate(rows_of_days(store, facts, day_column, days))
+    return store.write_table(table, kept.select(*restated.columns).unionByName(restated))
 
 
 def lots_that_differ(
@@ -378,9 +469,24 @@ def restate_quality(
     return written if lots is None else store.replace_lots(current[table], written, lots)
 
 
+@dataclass(frozen=True)
+class Fact:
+    """A fact's entity, shape, key, day and the columns that refer to dimensions."""
+
+    entity: str
+    shape: Callable[[DataFrame], DataFrame]
+    key: str
+    day: str
+    references: tuple[str, ...] = ()
+
+
 FACTS = {
-    "fct_apostas": ("apostas", marts.bet_facts, "data_aposta"),
-    "fct_transacoes": ("transacoes", marts.transaction_facts, "data_transacao"),
+    "fct_apostas": Fact(
+        "apostas", marts.bet_facts, "aposta_id", "data_aposta", ("apostador_id", "evento_id")
+    ),
+    "fct_transacoes": Fact(
+        "transacoes", marts.transaction_facts, "transacao_id", "data_transacao"
+    ),
 }
 AGGREGATES = {
     "agg_ggr_diario_esporte": ("fct_apostas", marts.daily_ggr),
@@ -409,34 +515,37 @@ def build_marts(
     rows = clean_relations(store, staging, specs)
     validated = {f"validado_{name}": staging[f"validado_{name}"] for name in specs}
 
-    def fact(table: str):
-        entity, shape, day = FACTS[table]
-        old = current.get(table)
-        version, lots = merge_fact(
-            store, old, table, shape(rows[entity]), specs[entity].key, lot_date
-        )
-        return version, lots, affected_days(store, old, version, lots, day)
+    def fact(table: str) -> tuple[Merged, list[dt.date] | None]:
+        entity, shape = FACTS[table].entity, FACTS[table].shape
+        this = clean(store.open(staging[f"validado_{entity}"], {lot_date.isoformat()}), specs[entity])
+        source = rows[entity] if table not in current else this
+        merged = merge_fact(store, current, table, shape(source), lot_date)
+        days = affected_days(store, current.get(table), merged.version, merged.lots, FACTS[table].day)
+        return merged, days
 
     facts = together(store.spark, {table: lambda t=table: fact(t) for table in FACTS})
 
     def daily(table: str) -> TableVersion:
         source, aggregate = AGGREGATES[table]
-        version, _, days = facts[source]
+        merged, days = facts[source]
         return restate_days(
-            store, current.get(table), table, FACTS[source][2], aggregate, store.open(version), days
+            store, current.get(table), table, FACTS[source].day, aggregate, merged.version, days
         )
 
     jobs = {table: lambda t=table: daily(t) for table in AGGREGATES}
+    latest = F.lit(staging["validado_apostas"].latest("data_aposta")).cast("date")
     jobs["dim_apostadores"] = lambda: store.write_table(
-        "dim_apostadores", marts.dim_bettors(rows["apostadores"], rows["apostas"])
+        "dim_apostadores", marts.dim_bettors(rows["apostadores"], latest)
     )
     jobs["dim_eventos"] = lambda: store.write_table("dim_eventos", marts.dim_events(rows["eventos"]))
     jobs["agg_qualidade_lote"] = lambda: restate_quality(store, current, validated, specs)
-    tables = validated | {name: version for name, (version, *_) in facts.items()}
+    tables = dict(validated)
+    for name, (merged, _) in facts.items():
+        tables |= {name: merged.version, **merged.indexes}
     return Built(
         tables | together(store.spark, jobs),
-        {name: lots for name, (_, lots, _) in facts.items()},
-        {name: days for name, (*_, days) in facts.items()},
+        {name: merged.lots for name, (merged, _) in facts.items()},
+        {name: days for name, (_, days) in facts.items()},
     )
 
 
@@ -453,23 +562,33 @@ def _drift(
 ) -> DataFrame:
     """Published against recomputed, on the restated days."""
     source = AGGREGATES[table][0]
-    published, facts = store.open(built.tables[table]), store.open(built.tables[source])
-    if built.days[source] is not None:
-        restated = F.col(FACTS[source][2]).isin(built.days[source])
-        published, facts = published.where(restated), facts.where(restated)
+    days, day = built.days[source], FACTS[source].day
+    published = rows_of_days(store, built.tables[table], day, days)
+    facts = rows_of_days(store, built.tables[source], day, days)
     return checks.drift_counts(published, checks.RECOMPUTED[table](facts), grain, tests)
 
 
+def _refers(
+    store: LotStore, built: Built, table: str, column: str, changed: DataFrame | None
+) -> set[str]:
+    """The batches whose rows of a fact refer to a changed parent."""
+    if changed is None or built.lots[table] is None:
+        return set()
+    index = built.tables[reference_name(table, column)]
+    return lots_named(entries_of(store, index, changed.select(F.col(column).alias(KEY))))
+
+
 def mart_checks(
-    store: LotStore, built: Built, specs: Mapping[str, EntitySpec] = ENTITIES
+    store: LotStore,
+    built: Built,
+    staging: Mapping[str, TableVersion],
+    specs: Mapping[str, EntitySpec] = ENTITIES,
 ) -> list[DataFrame]:
     """The marts contract. What passed before and cannot have changed is not read again."""
     current = store.state(MARTS)
-    t = {n: store.open(v) for n, v in built.tables.items() if n not in FACTS}
+    t = {n: store.open(v) for n, v in built.tables.items() if n.startswith(("dim_", "agg_"))}
     scopes = {n: _scope(store, built.tables[n], built.lots[n]) for n in FACTS}
-    scopes |= {
-        n: Scope(df, None) for n, df in t.items() if n.startswith(("dim_", "agg_"))
-    }
+    scopes |= {n: Scope(df, None) for n, df in t.items()}
     bets = scopes["fct_apostas"]
     bettors, events = t["dim_apostadores"], t["dim_eventos"]
     moved_bettors = _changed_dimension(store, current, "dim_apostadores", bettors, "apostadores")
@@ -500,7 +619,10 @@ def mart_checks(
         "agg_financeiro_diario": "data_transacao",
     }
     ggr, quality_mart = t["agg_ggr_diario_esporte"], t["agg_qualidade_lote"]
-    suspects = bets.exposed("evento_id", moved_events)
+    by_bettor = _refers(store, built, "fct_apostas", "apostador_id", moved_bettors)
+    by_event = _refers(store, built, "fct_apostas", "evento_id", moved_events)
+    suspects = bets.exposed("evento_id", moved_events, by_event)
+    holding = {n: _holding(store, staging, fact.entity) for n, fact in FACTS.items()}
     singular = {
         "ggr grain": checks.repeated(ggr, "data_aposta", "esporte"),
         "ggr identity": checks.ggr_identity(ggr),
@@ -512,9 +634,9 @@ def mart_checks(
     }
     return [
         *(_named(n, table_check(scopes[n].fresh, *rules)) for n, rules in filled.items()),
-        *(_key_check(n, scopes[n], key) for n, key in keys.items()),
-        _link_check("fct_apostas", bets, "apostador_id", bettors, moved_bettors),
-        _link_check("fct_apostas", bets, "evento_id", events, moved_events),
+        *(_key_check(n, scopes[n], key, holding.get(n)) for n, key in keys.items()),
+        _link_check("fct_apostas", bets, "apostador_id", bettors, moved_bettors, by_bettor),
+        _link_check("fct_apostas", bets, "evento_id", events, moved_events, by_event),
         _drift(
             store, built, "agg_ggr_diario_esporte", ["data_aposta", "esporte"],
             {"ggr status": "total_apostado", "exposure": "exposicao_pendente"},
@@ -558,10 +680,12 @@ def run_batch(
         event["linhas"] = {name: v.total_rows for name, v in staged.tables.items()}
     with logged(store, "marts_publicados", lote_data=lot_date, execucao=report.run_id) as event:
         built = build_marts(store, staged.tables, lot_date, specs)
-        checks.gate(mart_checks(store, built, specs))
+        checks.gate(mart_checks(store, built, staged.tables, specs))
         store.publish(MARTS, built.tables, report.run_id, run_at, marts.NOTES)
         report.rows_published = {
-            n: v.total_rows for n, v in built.tables.items() if n not in staged.tables
+            n: v.total_rows
+            for n, v in built.tables.items()
+            if n not in staged.tables and not is_index(n)
         }
         event["linhas"] = report.rows_published
     return report

@@ -12,6 +12,7 @@ from lotforge.operators import checks
 from lotforge.operators.validate import union_all
 from lotforge.plans import batch, generate
 from lotforge.plans.catalog import MID_LOT, Query
+from lotforge.plans.keyed import is_index
 from lotforge.plans.relations import Relations
 from lotforge.session import scratch_path
 from lotforge.sinks.csv_lots import fingerprint, write_entity, write_text
@@ -154,7 +155,7 @@ def _replay(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(name).alias("tabela"), "linhas", "impressao"
                 )
                 for name, v in state.items()
-                if not name.startswith("validado_")
+                if not name.startswith("validado_") and not is_index(name)
             ]
         )
 
@@ -208,7 +209,7 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    earlier = _Generated(spark, sf_dir).dirty_bets()
+    earlier = generate.EarlierLot(LOT, _Generated(spark, sf_dir).dirty_bets())
     return generate.resolve_pending(earlier, _Generated(spark, sf_dir, NEXT_LOT).profile)
 
 

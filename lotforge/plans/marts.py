@@ -46,9 +46,8 @@ def sum_where(condition: Column, value: str) -> Column:
     return F.coalesce(total, F.lit(0)).cast(MONEY_SUM)
 
 
-def dim_bettors(bettors: DataFrame, bets: DataFrame) -> DataFrame:
-    """Bettors with their tenure up to the latest bet date known, never up to today."""
-    latest = bets.agg(F.max("data_aposta")).scalar()
+def dim_bettors(bettors: DataFrame, latest: Column) -> DataFrame:
+    """Bettors with their tenure up to the latest date of a valid bet, never up to today."""
     return bettors.select(
         "apostador_id",
         "criado_em",

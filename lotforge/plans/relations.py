@@ -10,6 +10,7 @@ from collections.abc import Mapping
 from functools import cache
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from lotforge.functions.typing import type_rows
 from lotforge.model import ENTITIES
@@ -41,7 +42,8 @@ class Relations:
         return union_all([self.quarantined(name, at, as_json) for name in ENTITIES])
 
     def dim_bettors(self) -> DataFrame:
-        return marts.dim_bettors(self.clean("apostadores"), self.clean("apostas"))
+        latest = self.clean("apostas").agg(F.max("data_aposta")).scalar()
+        return marts.dim_bettors(self.clean("apostadores"), latest)
 
     def dim_events(self) -> DataFrame:
         return marts.dim_events(self.clean("eventos"))

@@ -11,11 +11,12 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Collection, Mapping
+from bisect import bisect_left
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,17 +25,40 @@ _LOG = "sequencia bigint, camada string, execucao string, publicado_em timestamp
 
 @dataclass(frozen=True)
 class TableVersion:
-    """The schema of a table and its folders, by batch date ('' when not partitioned)."""
+    """The schema of a table and its folders, by batch date ('' when not partitioned).
+
+    `spans` holds, for a column measured when a folder was written, the least and the greatest date
+    in that folder; a folder whose dates are all NULL has none.
+    """
 
     name: str
     schema: T.StructType
     folders: Mapping[str, str]
     rows: Mapping[str, int] = field(default_factory=dict)
+    spans: Mapping[str, Mapping[str, tuple[str, str]]] = field(default_factory=dict)
 
     @property
     def total_rows(self) -> int:
         return sum(self.rows.values())
 
+    def latest(self, measure: str) -> dt.date | None:
+        """The greatest date of a measured column over all folders."""
+        ends = [span[1] for span in self.spans.get(measure, {}).values()]
+        return dt.date.fromisoformat(max(ends)) if ends else None
+
+    def may_hold(self, measure: str, days: Collection[dt.date]) -> set[str]:
+        """Folders whose span of a measured column includes one of the days; all, if it was never
+        measured."""
+        if measure not in self.spans:
+            return set(self.folders)
+        ordered = sorted(day.isoformat() for day in days)
+
+        def meets(span: Sequence[str]) -> bool:
+            place = bisect_left(ordered, span[0])
+            return place < len(ordered) and ordered[place] <= span[1]
+
+        return {lot for lot, span in self.spans[measure].items() if meets(span)}
+
 
 class LotStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -66,6 +90,7 @@ class LotStore:
                 T.StructType.fromJson(entry["schema"]),
                 entry["folders"],
                 entry["rows"],
+                entry.get("spans", {}),
             )
             for name, entry in self._newest(layer)[1].items()
         }
@@ -106,22 +131,37 @@ class LotStore:
         df.observe(counted, F.count("*").alias("linhas")).write.parquet(folder)
         return TableVersion(table, df.schema, {"": folder}, {"": counted.get["linhas"]})
 
-    def write_lots(self, table: str, df: DataFrame) -> TableVersion:
-        """New folders for every batch date in `df`; batches without rows get none.
+    def write_partitions(
+        self, table: str, df: DataFrame, by: str, measures: Mapping[str, Column] | None = None
+    ) -> tuple[str, dict]:
+        """A new folder partitioned by a column: its path, and by value the rows written there,
+        followed by the least and greatest date of each measure, if there are any.
 
-        Rows are first gathered by batch so that tasks do not each write a small file per batch;
-        adaptive execution splits a large batch over several tasks.
+        Rows are first gathered by that column so that tasks do not each write a small file per
+        value; adaptive execution splits a large one over several tasks.
         """
         folder = self._folder(table)
-        rows = df.hint("rebalance", F.col("lote_data"))
-        rows.write.partitionBy("lote_data").parquet(folder)
+        df.hint("rebalance", F.col(by)).write.partitionBy(by).parquet(folder)
         written = self.spark.read.schema(df.schema).parquet(folder)
-        rows = {
-            row["lote_data"].isoformat(): row["count"]
-            for row in written.groupBy("lote_data").count().collect()
+        spans = [f(column).cast("string") for column in (measures or {}).values() for f in (F.min, F.max)]
+        found = written.groupBy(by).agg(F.count("*"), *spans).collect()
+        return folder, {row[0]: tuple(row)[1:] if spans else row[1] for row in found}
+
+    def write_lots(
+        self, table: str, df: DataFrame, measures: Mapping[str, Column] | None = None
+    ) -> TableVersion:
+        """New folders for every batch date in `df`; batches without rows get none.
+
+        `measures` are date columns whose span is kept for every folder.
+        """
+        folder, found = self.write_partitions(table, df, "lote_data", measures or {})
+        found = {lot.isoformat(): v if measures else (v,) for lot, v in found.items()}
+        spans = {
+            name: {lot: list(v[at : at + 2]) for lot, v in found.items() if v[at] is not None}
+            for at, name in zip(range(1, 2 * len(measures or {}), 2), measures or {})
         }
-        folders = {lot: f"{folder}/lote_data={lot}" for lot in rows}
-        return TableVersion(table, df.schema, folders, rows)
+        folders = {lot: f"{folder}/lote_data={lot}" for lot in found}
+        return TableVersion(table, df.schema, folders, {lot: v[0] for lot, v in found.items()}, spans)
 
     def replace_lots(
         self, current: TableVersion | None, written: TableVersion, replaced: set[str]
@@ -138,6 +178,10 @@ class LotStore:
             written.schema,
             {**{lot: current.folders[lot] for lot in keep}, **written.folders},
             {**{lot: current.rows[lot] for lot in keep}, **written.rows},
+            {
+                name: {**{lot: span[lot] for lot in keep if lot in span}, **written.spans.get(name, {})}
+                for name, span in current.spans.items()
+            },
         )
 
     def publish(
@@ -158,6 +202,7 @@ class LotStore:
                 "schema": v.schema.jsonValue(),
                 "folders": dict(v.folders),
                 "rows": dict(v.rows),
+                "spans": {measure: dict(span) for measure, span in v.spans.items()},
                 "note": (notes or {}).get(name, ""),
             }
             for name, v in versions.items()

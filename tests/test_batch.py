@@ -89,7 +89,7 @@ def test_generated_lot_replay_and_late_status(world):
     assert world.prints() == before
 
     ggr = world.read("agg_ggr_diario_esporte").agg(F.sum("ggr"), F.sum("exposicao_pendente")).first()
-    world.put_generated(g.BatchProfile(NEXT, 600), first["apostas"])
+    world.put_generated(g.BatchProfile(NEXT, 600), g.EarlierLot(LOT, first["apostas"]))
     world.run(NEXT)
     old_days = world.read("fct_apostas").where("aposta_id like 'APS20260203%'")
     sums = old_days.agg(
