@@ -18,7 +18,6 @@ empty table gives an empty result. Other columns are not looked at.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,12 +31,17 @@ WINDOW, EMBEDDED, FILTERS, WIDTHS = 256, 8, 16, (2, 3, 4)
 SAMPLE, WINDOWS = 2048, 12
 STEPS, BATCH, RATE = 500, 64, 0.01
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _REACH = max(WIDTHS) - 1
 #: Positions that one pass looks up.
 _PASS = 1 << 13
 
 
+def _has_letter(text: str) -> bool:
+    """Whether a character is of a Unicode category of letters; digits, fractions and numbers in
+    circles are not."""
+    return any(map(str.isalpha, text))
+
+
 @dataclass
 class Network:
     """Embedding (256, e), one (width, e, f) kernel per width, output layer; labels in order."""
@@ -162,7 +166,7 @@ def _groups(texts: list[str | None]) -> Iterator[list[int]]:
     """Indices of texts with a letter, in groups of bounded size."""
     held, size = [], 0
     for i, text in enumerate(texts):
-        if text is None or not _LETTER.search(text):
+        if text is None or not _has_letter(text):
             continue
         held.append(i)
         size += len(text)
@@ -197,7 +201,7 @@ def _take_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         labels, parts = [], []
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            if text is None or not _LETTER.search(text):
+            if text is None or not _has_letter(text):
                 continue
             data = text.encode()
             last = max(0, len(data) - WINDOW)

@@ -17,9 +17,10 @@ joined two components. Verification is the exact weighted Jaccard of the texts.
 At similarity 0.8 a pair misses all bands with probability 5e-8 and the agreement bound with 4e-6.
 
 Words are maximal runs of characters other than space, tab, LF, VT, FF and CR. Null texts and texts
-without words link with nothing. Equal texts are collapsed first and belong together. A doc_id
-names a document: rows that share it share its component; rows with a null doc_id stay alone, with
-a null component. An empty table gives an empty result. Other columns are not looked at.
+without words link with nothing. Equal texts are collapsed first and belong together. Rows are told
+apart by their texts: rows of one doc_id with different texts are separate documents, each in the
+class of its text. Rows with a null doc_id stay alone, with a null component, and are kept. An empty
+table gives an empty result. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -336,7 +337,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
         "links",
     )
     classes = components(first.union(second))
-    component = F.coalesce("component", "node", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return (
         texts.select("doc_id", "t1", "t2")
         .join(distinct.drop("sig"), ["t1", "t2"], "left")
@@ -346,6 +347,6 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
             "t1",
             "t2",
             component.alias("component_id"),
-            F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
+            F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
         )
     )

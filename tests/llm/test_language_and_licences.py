@@ -27,7 +27,7 @@ def test_held_out_accuracy(spark):
 def test_language_of_hard_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     net = fit(docs)
-    rows = [(1, None, "en", 0.5), (2, "", "en", 0.5), (3, "12 !?", None, 0.5), (None, "the house and the road", None, None)]
+    rows = [(1, None, "en", 0.5), (2, "", "en", 0.5), (3, "½ ² ① 12 !?_", None, 0.5), (None, "the house and the road", None, None)]
     rows += [(4, "the house and the road " * 40_000, "fr", 1.0), (4, "the house and the road " * 40_000, "de", 1.0)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, score_in double")
     got = predict(frame, net, ["doc_id", "lang"]).collect()
@@ -99,10 +99,10 @@ def test_licences_of_all_documents(spark):
 
 
 def test_every_query_on_empty_tables(spark, tmp_path):
-    for name in ("documents", "embeddings", "pages"):
+    for name in ("documents", "embeddings", "pages", "conversations", "labels"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     for name, query in queries().items():
-        assert query(spark, str(tmp_path)).count() == 0, name
+        assert query(spark, str(tmp_path)).count() == (1 if name.startswith("op11_") else 0), name
 
 
 def test_pipeline_stages(spark):
@@ -128,6 +128,21 @@ def test_pipeline_stages(spark):
     assert stages["best_fit_packing"](spark, mixed, SF).count() >= mixed.count()
 
 
+def test_pipeline_stages_with_clashing_names(spark):
+    """Columns named as the stages name their own come out unchanged."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    own = ["score", "lang_pred", "t1", "t2", "_id", "document", "row", "kept", "component_id", "node"]
+    marked = docs.withColumns({name: F.concat(F.lit(f"{name} "), F.col("doc_id").cast("string")) for name in own})
+    for name in ("language_id", "minhash_near_dedup"):
+        stage = dict(corpus_pipeline.STAGES)[name]
+        result = stage(spark, marked, SF)
+        assert result.columns == marked.columns
+        plain = sorted(map(str, stage(spark, docs, SF).collect()))
+        rows = result.collect()
+        assert all(r[n] == f"{n} {r['doc_id']}" for r in rows for n in own)
+        assert sorted(map(str, result.select(*docs.columns).collect())) == plain
+
+
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
 rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"""

@@ -90,6 +90,10 @@ def test_nulls_and_repeated_rows(spark):
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(got) == len(rows)
     assert {r["component_id"] for r in got if r["doc_id"] in (3, 4)} == {3}
+    assert [(r["component_id"], r["kept"]) for r in got if r["doc_id"] is None] == [(None, True)]
+    both = [(3, "a b c d e f"), (5, "a b c d e f"), (5, "quite another text of six words")]
+    got = near_duplicates(spark.createDataFrame(both, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == [(3, 3, True), (5, 3, False), (5, 5, True)]
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
