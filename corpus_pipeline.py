@@ -20,18 +20,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents in a language that the labelled ones have. Texts that are null, have no letter,
     or are predicted with a probability below `SURE` go."""
     ship(spark)
-    known = predict(docs, fit(docs), docs.columns)
-    return known.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= SURE)).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("document"), "text")
+    known = predict(rows, fit(docs), ["document"])
+    return known.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= SURE)).select("document.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, that with the smallest doc_id; one of
-    repeated rows."""
+    repeated rows. Rows with a null doc_id are in no class; one of those with equal texts stays."""
     ship(spark)
-    keyed = docs.withColumns(dict(zip(("t1", "t2"), content_key(F.coalesce("text", F.lit(""))))))
-    keep = near_duplicates(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("_id"), "t1", "t2")
-    kept = keyed.join(keep.distinct(), ["t1", "t2"]).where(F.col("doc_id").eqNullSafe(F.col("_id")))
-    return kept.dropDuplicates(["t1", "t2", "doc_id"]).select(*docs.columns)
+    key = content_key(F.coalesce("text", F.lit("")))
+    keyed = docs.select(F.col("doc_id").alias("_id"), F.struct("*").alias("document"), *key)
+    keep = near_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id", "t1", "t2")
+    kept = keyed.join(keep.distinct(), ["t1", "t2"]).where(F.col("_id").eqNullSafe(F.col("doc_id")))
+    return kept.dropDuplicates(["t1", "t2", "_id"]).select("document.*")
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
