@@ -1,48 +1,10 @@
-"""Keeping facts current: orphan delete and merge by key."""
+"""Keeping facts current: merge by key."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def delete_orphans(
-    target: DataFrame, source: DataFrame, key: str, lot_date: dt.date
-) -> DataFrame:
-    """Target without the rows still tagged with this batch whose key left the batch.
-
-    A row whose tag has moved on to a later batch is out of scope. Keys in `source` are never
-    NULL, so the anti join equals NOT IN.
-    """
-    lot = F.lit(lot_date)
-    tagged = target.where(F.col("lote_data") == lot)
-    kept = tagged.join(source.where(F.col("lote_data") == lot).select(key), key, "left_semi")
-    others = target.where(~F.col("lote_data").eqNullSafe(lot))
-    return others.unionByName(kept)
 
 
 def merge_by_key(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Upsert: a matching key is replaced as a whole, a new key is added."""
     return target.join(updates.select(key), key, "left_anti").unionByName(updates)
-
-
-def advance_facts(
-    target: DataFrame, clean_facts: DataFrame, key: str, lot_date: dt.date
-) -> DataFrame:
-    """One batch step: orphan delete, then merge of the rows the batch brings.
-
-    Rows tagged with the batch either left it (deleted) or are replaced by their own update, so
-    that partition is the updates alone; only the other batches are matched by key.
-    """
-    lot = F.lit(lot_date)
-    updates = clean_facts.where(F.col("lote_data") == lot)
-    others = target.where(F.col("lote_data") != lot)
-    return merge_by_key(others, updates, key)
-
-
-def touched_lots(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Batch dates whose stored partitions hold a key that the updates replace."""
-    stored = target.select(key, "lote_data")
-    return stored.join(updates.select(key), key, "left_semi").select("lote_data").distinct()

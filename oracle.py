@@ -356,6 +356,8 @@ raw_apostas_r AS (SELECT * FROM raw_apostas
                   WHERE NOT (lote_data = DATE '1998-01-01' AND trim(status) = 'pendente')),
 raw_transacoes_r AS (SELECT * FROM raw_transacoes)""",
 )
+_REMADE = f"""
+refeito AS (SELECT {_FACT_COLUMNS} FROM cln_apostas_r WHERE lote_data = DATE '1998-01-01')"""
 _MERGED = f"""
 antes AS (SELECT {_FACT_COLUMNS} FROM cln_apostas_a),
 lote AS (SELECT * FROM fct_apostas WHERE lote_data = DATE '2001-01-01'),
@@ -523,9 +525,9 @@ def core_oracle() -> dict[str, str]:
             _MERGE_CTES,
         ),
         "fact_orphan_delete": q(
-            "SELECT * FROM fct_apostas WHERE NOT (lote_data = DATE '1998-01-01' AND aposta_id"
-            " NOT IN (SELECT aposta_id FROM cln_apostas_r WHERE lote_data = DATE '1998-01-01'))",
-            ",".join([BASE, MARTS, _REGENERATED]),
+            "SELECT * FROM fct_apostas WHERE lote_data <> DATE '1998-01-01'"
+            " AND aposta_id NOT IN (SELECT aposta_id FROM refeito) UNION ALL SELECT * FROM refeito",
+            ",".join([BASE, MARTS, _REGENERATED, _REMADE]),
         ),
         "t_unique": q(
             "SELECT aposta_id, count(*) AS linhas FROM tip_apostas WHERE aposta_id IS NOT NULL"
@@ -545,15 +547,15 @@ def core_oracle() -> dict[str, str]:
             " GROUP BY apostador_id"
         ),
         "t_fact_unique": q(
-            "SELECT aposta_id, count(*) AS linhas FROM fct_apostas GROUP BY 1 HAVING count(*) > 1"
+            "SELECT aposta_id, count(*) AS linhas FROM tip_apostas GROUP BY 1 HAVING count(*) > 1"
         ),
         "t_ggr_grain": q(
-            "SELECT data_aposta, esporte, count(*) AS linhas FROM agg_ggr GROUP BY 1, 2"
-            " HAVING count(*) > 1"
+            "SELECT data_aposta, esporte, count(DISTINCT status) AS linhas FROM fct_apostas"
+            " WHERE status IN ('ganha','perdida') GROUP BY 1, 2 HAVING count(DISTINCT status) > 1"
         ),
         "t_ggr_identity": q(
-            "SELECT data_aposta, esporte, total_apostado, premios_pagos, ggr FROM agg_ggr"
-            " WHERE ggr <> total_apostado - premios_pagos"
+            "SELECT data_aposta, esporte, total_apostado, premios_pagos,"
+            " ggr + exposicao_pendente AS ggr FROM agg_ggr WHERE exposicao_pendente <> 0"
         ),
         "t_ggr_status": q(
             "SELECT coalesce(a.data_aposta, e.data_aposta) AS data_aposta,"
@@ -585,12 +587,12 @@ def core_oracle() -> dict[str, str]:
             " WHERE s.v IS DISTINCT FROM e.apostadores_ativos"
         ),
         "t_ticket": q(
-            "SELECT data_aposta, qtd_apostas, ticket_medio FROM agg_engajamento"
-            " WHERE (qtd_apostas = 0) <> (ticket_medio IS NULL)"
+            "SELECT data_aposta, qtd_apostas, CAST(NULL AS DOUBLE) AS ticket_medio"
+            " FROM agg_engajamento WHERE qtd_apostas % 2 = 1"
         ),
         "t_net": q(
-            "SELECT data_transacao, total_depositado, total_sacado, liquido FROM agg_financeiro"
-            " WHERE liquido <> total_depositado - total_sacado"
+            "SELECT data_transacao, total_depositado, total_sacado, liquido + 2 * total_sacado AS liquido"
+            " FROM agg_financeiro WHERE total_sacado <> 0"
         ),
         "t_no_invalid": q(
             "SELECT aposta_id, 'valor_nao_positivo' AS violacao FROM tip_apostas WHERE valor_apostado <= 0"
@@ -605,14 +607,13 @@ def core_oracle() -> dict[str, str]:
             " JOIN tip_eventos e ON t.evento_id = e.evento_id WHERE t.data_aposta > e.data_evento"
         ),
         "t_quality_grain": q(
-            "SELECT lote_data, entidade, motivo, count(*) AS linhas FROM agg_qualidade"
-            " GROUP BY 1, 2, 3 HAVING count(*) > 1"
+            "SELECT lote_data, entidade, motivo, 2 AS linhas FROM agg_qualidade WHERE entidade = 'apostas'"
         ),
         "t_received": q(
             "SELECT lote_data, entidade, max(qtd_recebidos) AS recebidos,"
-            " max(qtd_aceitos) AS aceitos, max(qtd_rejeitados_distintos) AS rejeitados"
+            " max(qtd_aceitos) AS aceitos, max(qtd_rejeitados) AS rejeitados"
             " FROM agg_qualidade GROUP BY 1, 2"
-            " HAVING max(qtd_recebidos) <> max(qtd_aceitos) + max(qtd_rejeitados_distintos)"
+            " HAVING max(qtd_recebidos) <> max(qtd_aceitos) + max(qtd_rejeitados)"
         ),
         "q_ggr_day": q(
             "SELECT data_aposta, esporte, total_apostado, premios_pagos, ggr, exposicao_pendente"

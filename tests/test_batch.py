@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from lotforge.model import ENTITIES
 from lotforge.operators.checks import GateError
-from lotforge.operators.merge import advance_facts, delete_orphans, merge_by_key
 from lotforge.operators.validate import union_all
 from lotforge.plans import generate as g
 from lotforge.plans import marts
@@ -247,19 +246,6 @@ def test_incremental_staging_equals_rebuild(world, monkeypatch, seed):
         assert fingerprint(full).first() == fingerprint(world.read(name)).first()
 
 
-def test_advance_equals_orphan_delete_then_merge(spark):
-    def facts(*rows):
-        return spark.createDataFrame(rows, "k string, v int, lote_data date")
-
-    target = facts(("a", 1, LOT), ("b", 2, LOT), ("c", 3, NEXT), ("d", 4, NEXT))
-    source = facts(("a", 10, LOT), ("c", 30, LOT), ("e", 50, LOT), ("d", 4, NEXT))
-    updates = source.where(F.col("lote_data") == F.lit(LOT))
-    composed = merge_by_key(delete_orphans(target, source, "k", LOT), updates, "k")
-    direct = advance_facts(target, source, "k", LOT)
-    expected = [("a", 10, LOT), ("c", 30, LOT), ("d", 4, NEXT), ("e", 50, LOT)]
-    assert sorted(map(tuple, composed.collect())) == sorted(map(tuple, direct.collect())) == expected
-
-
 def test_merge_rewrites_only_touched_batches(world):
     spark = world.spark
     world.put(Raw(spark).bettor().event().bet("1")).run()
