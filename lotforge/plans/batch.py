@@ -139,9 +139,8 @@ def load_lot(
     loaded = together(store.spark, {name: lambda n=name: load(n) for name in specs})
     for name, (_, written, removed) in loaded.items():
         report.rows_loaded[name], report.rows_removed[name] = written, removed
-    store.publish(
-        RAW, {f"raw_{n}": version for n, (version, *_) in loaded.items()}, report.run_id, run_at
-    )
+    versions = {f"raw_{n}": version for n, (version, *_) in loaded.items()}
+    store.publish(RAW, versions, report.run_id, run_at, after=current.sequence)
 
 
 # --- staging -------------------------------------------------------------------------------
@@ -153,6 +152,7 @@ class Staged:
 
     tables: dict[str, TableVersion]
     runs: dict[str, Restaged]
+    base: int
 
     def release(self) -> None:
         for run in self.runs.values():
@@ -171,7 +171,8 @@ def build_staging(
     Only what the batch can have changed is validated again, unless `rebuild` is set or nothing
     was staged before; the outcome is the same.
     """
-    raw, staged = store.state(RAW), {} if rebuild else store.state(STAGING)
+    raw, published = store.state(RAW), store.state(STAGING)
+    staged = {} if rebuild else published
     rejected_at = F.lit(run_at).cast("timestamp_ntz")
     parents: dict[str, DataFrame] = {}
     changes: dict[str, DataFrame] = {}
@@ -218,15 +219,13 @@ def build_staging(
             store.spark, {name: lambda n=name: rejected(n) for name in specs}
         ).items()
     }
-    return Staged(tables, done)
+    return Staged(tables, done, published.sequence)
 
 
-def clean_relations(
-    store: LotStore,
-    staging: Mapping[str, TableVersion],
-    specs: Mapping[str, EntitySpec] = ENTITIES,
-) -> dict[str, DataFrame]:
-    return {n: clean(store.open(staging[f"validado_{n}"]), s) for n, s in specs.items()}
+def clean_relation(
+    store: LotStore, staging: Mapping[str, TableVersion], spec: EntitySpec
+) -> DataFrame:
+    return clean(store.open(staging[f"validado_{spec.name}"]), spec)
 
 
 def rejected_records(store: LotStore, staging: Mapping[str, TableVersion]) -> DataFrame:
@@ -303,7 +302,9 @@ def _holding(
 def staging_checks(
     store: LotStore, staged: Staged, specs: Mapping[str, EntitySpec] = ENTITIES
 ) -> list[DataFrame]:
-    relations, found = clean_relations(store, staged.tables, specs), []
+    referred = {link.entity for spec in specs.values() for link in spec.parents}
+    parents = {name: clean_relation(store, staged.tables, specs[name]) for name in referred}
+    found = []
     for name, spec in specs.items():
         scope = _scope(
             store,
@@ -315,7 +316,7 @@ def staging_checks(
         found.append(_named(name, table_check(scope.fresh, *rules)))
         found.append(_key_check(name, scope, spec.key, _holding(store, staged.tables, name)))
         for link in spec.parents:
-            parent, changed = relations[link.entity], staged.runs[link.entity].changed
+            parent, changed = parents[link.entity], staged.runs[link.entity].changed
             lots = staged.runs[name].exposed.get(link.key, set())
             found.append(_link_check(name, scope, link.key, parent, changed, lots))
     rejected = union_all(
@@ -499,6 +500,7 @@ AGGREGATES = {
 class Built:
     """The marts, with the fact batches written and the days restated (None: all)."""
 
+    base: int
     tables: dict[str, TableVersion]
     lots: dict[str, set[str] | None]
     days: dict[str, list[dt.date] | None]
@@ -512,13 +514,13 @@ def build_marts(
 ) -> Built:
     """The marts after this batch, with the validated tables they were built from."""
     current = store.state(MARTS)
-    rows = clean_relations(store, staging, specs)
+    bettors, events = (clean_relation(store, staging, specs[n]) for n in ("apostadores", "eventos"))
     validated = {f"validado_{name}": staging[f"validado_{name}"] for name in specs}
 
     def fact(table: str) -> tuple[Merged, list[dt.date] | None]:
         entity, shape = FACTS[table].entity, FACTS[table].shape
-        this = clean(store.open(staging[f"validado_{entity}"], {lot_date.isoformat()}), specs[entity])
-        source = rows[entity] if table not in current else this
+        lots = {lot_date.isoformat()} if table in current else None
+        source = clean(store.open(staging[f"validado_{entity}"], lots), specs[entity])
         merged = merge_fact(store, current, table, shape(source), lot_date)
         days = affected_days(store, current.get(table), merged.version, merged.lots, FACTS[table].day)
         return merged, days
@@ -535,14 +537,15 @@ def build_marts(
     jobs = {table: lambda t=table: daily(t) for table in AGGREGATES}
     latest = F.lit(staging["validado_apostas"].latest("data_aposta")).cast("date")
     jobs["dim_apostadores"] = lambda: store.write_table(
-        "dim_apostadores", marts.dim_bettors(rows["apostadores"], latest)
+        "dim_apostadores", marts.dim_bettors(bettors, latest)
     )
-    jobs["dim_eventos"] = lambda: store.write_table("dim_eventos", marts.dim_events(rows["eventos"]))
+    jobs["dim_eventos"] = lambda: store.write_table("dim_eventos", marts.dim_events(events))
     jobs["agg_qualidade_lote"] = lambda: restate_quality(store, current, validated, specs)
     tables = dict(validated)
     for name, (merged, _) in facts.items():
         tables |= {name: merged.version, **merged.indexes}
     return Built(
+        current.sequence,
         tables | together(store.spark, jobs),
         {name: merged.lots for name, (merged, _) in facts.items()},
         {name: days for name, (_, days) in facts.items()},
@@ -664,7 +667,9 @@ def run_batch(
     """Process one dated lot. Nothing of a layer is visible until its tests pass.
 
     RAW stays loaded when a later step fails; running the same lot again changes no number.
-    `rebuild` validates all history again instead of only what the lot can have changed.
+    `rebuild` validates all history again instead of only what the lot can have changed. Of two runs
+    at once on one store, the one that publishes a layer later fails with `PublicationConflict` and
+    can be run again.
     """
     report = RunReport(lot_date, uuid.uuid4().hex)
     with logged(store, "lote_carregado", lote_data=lot_date, execucao=report.run_id) as event:
@@ -676,12 +681,12 @@ def run_batch(
             checks.gate(staging_checks(store, staged, specs))
         finally:
             staged.release()
-        store.publish(STAGING, staged.tables, report.run_id, run_at)
+        store.publish(STAGING, staged.tables, report.run_id, run_at, after=staged.base)
         event["linhas"] = {name: v.total_rows for name, v in staged.tables.items()}
     with logged(store, "marts_publicados", lote_data=lot_date, execucao=report.run_id) as event:
         built = build_marts(store, staged.tables, lot_date, specs)
         checks.gate(mart_checks(store, built, staged.tables, specs))
-        store.publish(MARTS, built.tables, report.run_id, run_at, marts.NOTES)
+        store.publish(MARTS, built.tables, report.run_id, run_at, marts.NOTES, built.base)
         report.rows_published = {
             n: v.total_rows
             for n, v in built.tables.items()

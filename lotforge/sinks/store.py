@@ -1,9 +1,11 @@
 """Versioned Parquet tables with all-or-nothing publication of a layer.
 
 Every write goes to a new folder, `<root>/<table>/run=<id>/[lote_data=.../]`, so nothing is ever
-overwritten while it is read. A layer's state names, for each table, the folders that make it up;
-publishing appends one record with the new state, and readers take the newest record. Batches left
-untouched by a run keep pointing at the folders of earlier runs.
+overwritten while it is read. A layer's state names, for each table, the folders that make it up, and
+is one file, `<root>/_publicacoes/<layer>/<sequence>.json`. Publishing creates the file after the one
+the run started from; if another run has created it meanwhile, nothing becomes visible and the run
+fails with `PublicationConflict`. Batches left untouched by a run keep pointing at the folders of
+earlier runs.
 """
 
 from __future__ import annotations
@@ -15,12 +17,24 @@ from bisect import bisect_left
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LOG = "sequencia bigint, camada string, execucao string, publicado_em timestamp_ntz, estado string"
+from lotforge.sinks.files import TextFiles
+
+
+
+class PublicationConflict(RuntimeError):
+    """Another run has published the layer since this one read its state."""
+
+
+class State(dict):
+    """The tables of a layer by name, and the number of the publication they come from."""
+
+    def __init__(self, sequence: int, tables: Mapping[str, TableVersion]) -> None:
+        super().__init__(tables)
+        self.sequence = sequence
 
 
 @dataclass(frozen=True)
@@ -63,28 +77,31 @@ class TableVersion:
 class LotStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        self.files = TextFiles(spark)
 
     # --- reading ---------------------------------------------------------------------------
 
-    def _log(self) -> DataFrame:
-        return self.spark.read.schema(_LOG).json(f"{self.root}/_publicacoes")
+    def _path(self, layer: str, sequence: int) -> str:
+        return f"{self.root}/_publicacoes/{layer}/{sequence:012d}.json"
 
-    def _newest(self, layer: str) -> tuple[int, dict[str, dict]]:
-        try:
-            last = (
-                self._log()
-                .where(F.col("camada") == layer)
-                .orderBy(F.desc("sequencia"))
-                .limit(1)
-                .collect()
-            )
-        except AnalysisException:  # nothing published yet
-            last = []
-        return (last[0]["sequencia"], json.loads(last[0]["estado"])) if last else (0, {})
+    def _sequences(self, layer: str) -> list[int]:
+        names = self.files.names(f"{self.root}/_publicacoes/{layer}")
+        return [int(name[:12]) for name in names if name.endswith(".json") and name[:12].isdigit()]
 
-    def state(self, layer: str) -> dict[str, TableVersion]:
+    def _newest(self, layer: str) -> tuple[int, dict[str, dict]]:
+        """The last publication. A note of its number saves listing them all; publications that
+        the note has missed follow it one by one."""
+        noted = (self.files.read(f"{self.root}/_publicacoes/{layer}/ultima") or "").strip()
+        known = int(noted) if noted.isdigit() else max(self._sequences(layer), default=0)
+        text = self.files.read(self._path(layer, known)) if known else None
+        while (later := self.files.read(self._path(layer, known + 1))) is not None:
+            known, text = known + 1, later
+        return known, json.loads(text)["estado"] if text else {}
+
+    def state(self, layer: str) -> State:
         """The published tables of a layer; resolve it once per run."""
-        return {
+        sequence, entries = self._newest(layer)
+        tables = {
             name: TableVersion(
                 name,
                 T.StructType.fromJson(entry["schema"]),
@@ -92,8 +109,9 @@ class LotStore:
                 entry["rows"],
                 entry.get("spans", {}),
             )
-            for name, entry in self._newest(layer)[1].items()
+            for name, entry in entries.items()
         }
+        return State(sequence, tables)
 
     def note(self, layer: str, table: str) -> str:
         return self._newest(layer)[1][table].get("note", "")
@@ -191,12 +209,16 @@ class LotStore:
         run_id: str,
         at: dt.datetime,
         notes: Mapping[str, str] | None = None,
+        after: int | None = None,
     ) -> None:
         """Make the given versions visible together; other tables of the layer stay as they are.
 
-        `notes` are table comments: what a published number includes and leaves out.
+        `after` is the number of the state that the versions were made from; a later publication is
+        a conflict. `notes` are table comments: what a published number includes and leaves out.
         """
         sequence, entries = self._newest(layer)
+        if after is not None and after != sequence:
+            raise PublicationConflict(f"{layer}: made from {after}, but {sequence} is published")
         entries = entries | {
             name: {
                 "schema": v.schema.jsonValue(),
@@ -207,37 +229,30 @@ class LotStore:
             }
             for name, v in versions.items()
         }
-        record = self.spark.range(1).select(
-            F.lit(sequence + 1).cast("bigint").alias("sequencia"),
-            F.lit(layer).alias("camada"),
-            F.lit(run_id).alias("execucao"),
-            F.lit(at).cast("timestamp_ntz").alias("publicado_em"),
-            F.lit(json.dumps(entries)).alias("estado"),
-        )
-        record.coalesce(1).write.mode("append").json(f"{self.root}/_publicacoes")
+        record = {"execucao": run_id, "publicado_em": at.isoformat(), "estado": entries}
+        if not self.files.create(self._path(layer, sequence + 1), json.dumps(record)):
+            raise PublicationConflict(f"{layer}: {sequence + 1} was published by another run")
+        self.files.replace(f"{self.root}/_publicacoes/{layer}/ultima", str(sequence + 1))
 
     def superseded_folders(self, keep: int) -> list[str]:
         """Folders no longer named by any layer's last `keep` publications, safe to delete.
 
-        Found in the publication log alone; nothing is listed or removed here.
+        Found in the publications alone; nothing is listed or removed here.
         """
         live: set[str] = set()
         older: set[str] = set()
-        by_layer: dict[str, list] = {}
-        for row in self._log().orderBy(F.desc("sequencia")).toLocalIterator():
-            by_layer.setdefault(row["camada"], []).append(row)
-        for rows in by_layer.values():
-            for position, row in enumerate(rows):
-                named = {f for e in json.loads(row["estado"]).values() for f in e["folders"].values()}
+        for layer in self.files.names(f"{self.root}/_publicacoes"):
+            for position, sequence in enumerate(sorted(self._sequences(layer), reverse=True)):
+                record = json.loads(self.files.read(self._path(layer, sequence)))
+                named = {f for e in record["estado"].values() for f in e["folders"].values()}
                 (live if position < keep else older).update(named)
         return sorted(older - live)
 
     # --- run log ---------------------------------------------------------------------------
 
     def append_event(self, event: dict) -> None:
-        text = F.lit(json.dumps(event, default=str, ensure_ascii=False))
-        row = self.spark.range(1).select(text.alias("value"))
-        row.coalesce(1).write.mode("append").text(f"{self.root}/_eventos")
+        text = json.dumps(event, default=str, ensure_ascii=False)
+        self.files.create(f"{self.root}/_eventos/{uuid.uuid4().hex}.json", text + "\n")
 
     def events(self) -> DataFrame:
         """The run log, one JSON object per row in column `value`."""
