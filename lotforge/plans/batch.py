@@ -199,9 +199,10 @@ def build_staging(
         side_by_side = partial(together, store.spark)
         return restage(store, spec, raw[f"raw_{name}"], staged, lot_date, parents, changes, side_by_side)
 
+    referred = {link.entity for spec in specs.values() for link in spec.parents}
     for group in PARENTS_FIRST:
         done |= together(store.spark, {name: lambda n=name: validated(n) for name in group})
-        parents |= {n: clean(store.open(done[n].version), specs[n]) for n in group}
+        parents |= {n: clean(store.open(done[n].version), specs[n]) for n in group if n in referred}
         changes |= {n: done[n].changed for n in group if done[n].changed is not None}
 
     def rejected(name: str) -> TableVersion:
