@@ -149,19 +149,17 @@ def _invalid_kinds() -> list[tuple[str, Column]]:
     keys = ["aposta_id", "apostador_id", "evento_id", "data_aposta", "status"]
     any_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     return [
+        ("nulo_obrigatorio", any_null),
         ("valor_nao_positivo", F.col("valor_apostado") <= 0),
         ("premio_negativo", F.col("premio_pago") < 0),
-        ("chave_nula", any_null),
-        ("status_fora_do_dominio", ~F.col("status").isin(*BET_STATUSES)),
-        (
-            "premio_em_status_indevido",
-            F.col("status").isin(*UNPAID_STATUSES) & (F.col("premio_pago") != 0),
-        ),
+        ("premio_inconsistente", F.col("status").isin(*UNPAID_STATUSES) & (F.col("premio_pago") != 0)),
+        ("status_invalido", ~F.col("status").isin(*BET_STATUSES)),
     ]
 
 
 def no_invalid_facts(facts: DataFrame, events: DataFrame) -> DataFrame:
-    """Rule violations that reached the fact: five kinds in one scan, one more with the event."""
+    """What must not reach the fact, under the reasons of the rules: five kinds in one scan, one
+    more with the event."""
     found = F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in _invalid_kinds())))
     own = facts.select("aposta_id", F.explode(found).alias("violacao"))
     late = (

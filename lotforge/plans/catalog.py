@@ -309,14 +309,14 @@ def _per_reason(r: Relations) -> DataFrame:
 def _probe(r: Relations) -> DataFrame:
     facts = r.bet_facts()
     return consumer.state_probe(
-        r.raw["apostas"],
-        r.clean("apostas"),
-        r.all_quarantined(_rejected_at()),
-        facts,
-        marts.daily_ggr(facts),
-        marts.daily_engagement(facts),
-        r.daily_cash(),
-        r.batch_quality(),
+        {
+            "raw_apostas": r.raw["apostas"],
+            "fct_apostas": facts,
+            "agg_ggr_diario_esporte": marts.daily_ggr(facts),
+            "agg_engajamento_diario": marts.daily_engagement(facts),
+            "agg_financeiro_diario": r.daily_cash(),
+            "agg_qualidade_lote": r.batch_quality(),
+        }
     )
 
 

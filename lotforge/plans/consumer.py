@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lotforge.model import NO_REJECTION
+from lotforge.operators.validate import union_all
 from lotforge.plans.marts import MONEY_SUM
 
 
@@ -125,43 +128,28 @@ def facts_with_prefix(facts: DataFrame, prefix: str) -> DataFrame:
     return facts.where(F.col("aposta_id").startswith(prefix))
 
 
-def state_probe(
-    raw_bets: DataFrame,
-    clean_bets: DataFrame,
-    rejected: DataFrame,
-    facts: DataFrame,
-    ggr: DataFrame,
-    engagement: DataFrame,
-    cash: DataFrame,
-    quality: DataFrame,
-) -> DataFrame:
-    """Twelve counts and sums that a replayed batch must leave unchanged: (sonda, valor)."""
-
-    def total(df: DataFrame, column: str):
-        return df.agg(F.coalesce(F.sum(column), F.lit(0)))
-
-    def rows(df: DataFrame):
-        return df.agg(F.count("*"))
-
-    probes = {
-        "raw_apostas": rows(raw_bets),
-        "stg_apostas": rows(clean_bets),
-        "quarentena": rows(rejected),
-        "fct_linhas": rows(facts),
-        "fct_distintas": facts.agg(F.count_distinct("aposta_id")),
-        "ggr_linhas": rows(ggr),
-        "ggr_soma": total(ggr, "ggr"),
-        "exposicao": total(ggr, "exposicao_pendente"),
-        "volume": total(engagement, "volume_apostado"),
-        "ativos": total(engagement, "apostadores_ativos"),
-        "liquido": total(cash, "liquido"),
-        "rejeitados": total(quality, "qtd_rejeitados_distintos"),
-    }
-    parts = [
-        df.toDF("valor").select(F.lit(name).alias("sonda"), F.col("valor").cast(MONEY_SUM))
-        for name, df in probes.items()
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+#: Columns that don't add up.
+_AVERAGES = ("ticket_medio", "taxa_rejeicao")
+
+
+def state_probe(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Row counts and totals that a replayed batch must leave unchanged: (tabela, medida, valor).
+
+    Every table is aggregated once; the measures are its numeric columns that add up.
+    """
+    parts = []
+    for table, df in tables.items():
+        numbers = [
+            f.name
+            for f in df.schema
+            if isinstance(f.dataType, (T.DecimalType, T.IntegralType))
+            and f.name not in (*_AVERAGES, "linha_origem")
+        ]
+        measured = {"linhas": F.count("*")} | {c: F.coalesce(F.sum(c), F.lit(0)) for c in numbers}
+        entries = [
+            F.struct(F.lit(name).alias("medida"), value.cast(MONEY_SUM).alias("valor"))
+            for name, value in measured.items()
+        ]
+        totals = df.agg(F.array(*entries).alias("_m"))
+        parts.append(totals.select(F.lit(table).alias("tabela"), F.inline("_m")))
+    return union_all(parts)

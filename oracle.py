@@ -291,37 +291,22 @@ QUARANTINE = "\nquarentena AS (\n  " + "\n  UNION ALL ".join(
     _quarantine(e, k) for e, k in _KEYS.items()
 ) + ")"
 
-QUALITY = """
-recebidos AS (
-  SELECT lote_data, 'apostadores' AS entidade, count(*) AS qtd_recebidos FROM raw_apostadores GROUP BY 1
-  UNION ALL SELECT lote_data, 'eventos', count(*) FROM raw_eventos GROUP BY 1
-  UNION ALL SELECT lote_data, 'apostas', count(*) FROM raw_apostas GROUP BY 1
-  UNION ALL SELECT lote_data, 'transacoes', count(*) FROM raw_transacoes GROUP BY 1
-),
-aceitos AS (
-  SELECT lote_data, 'apostadores' AS entidade, count(*) AS qtd_aceitos FROM cln_apostadores GROUP BY 1
-  UNION ALL SELECT lote_data, 'eventos', count(*) FROM cln_eventos GROUP BY 1
-  UNION ALL SELECT lote_data, 'apostas', count(*) FROM cln_apostas GROUP BY 1
-  UNION ALL SELECT lote_data, 'transacoes', count(*) FROM cln_transacoes GROUP BY 1
-),
-descartados AS (
-  SELECT lote_data, entidade, count(*) AS qtd_rejeitados_distintos FROM quarentena GROUP BY 1, 2
-),
-por_motivo AS (
-  SELECT lote_data, entidade, motivo, count(*) AS qtd_rejeitados
-  FROM (SELECT lote_data, entidade, unnest(string_split(motivos, ',')) AS motivo FROM quarentena)
-  GROUP BY 1, 2, 3
+_JUDGED = " UNION ALL ".join(
+    f"SELECT '{entity}' AS entidade, lote_data, motivos FROM val_{entity}" for entity in _COLUMNS
+)
+QUALITY = f"""
+julgadas AS ({_JUDGED}),
+lotes AS (
+  SELECT lote_data, entidade, count(*) AS n, count(*) FILTER (len(motivos) > 0) AS ruins
+  FROM julgadas GROUP BY ALL
 ),
 agg_qualidade AS (
-  SELECT r.lote_data, r.entidade, coalesce(p.motivo, 'sem_rejeicao') AS motivo, r.qtd_recebidos,
-         coalesce(a.qtd_aceitos, 0) AS qtd_aceitos, coalesce(p.qtd_rejeitados, 0) AS qtd_rejeitados,
-         coalesce(d.qtd_rejeitados_distintos, 0) AS qtd_rejeitados_distintos,
-         CAST(((2 * coalesce(d.qtd_rejeitados_distintos, 0) * 10000 + r.qtd_recebidos)
-               // (2 * r.qtd_recebidos)) / 10000.0 AS DECIMAL(5,4)) AS taxa_rejeicao
-  FROM recebidos r
-  LEFT JOIN aceitos a USING (lote_data, entidade)
-  LEFT JOIN descartados d USING (lote_data, entidade)
-  LEFT JOIN por_motivo p USING (lote_data, entidade)
+  SELECT lote_data, entidade, coalesce(m, 'sem_rejeicao') AS motivo, n AS qtd_recebidos,
+         n - ruins AS qtd_aceitos, count(m) AS qtd_rejeitados, ruins AS qtd_rejeitados_distintos,
+         CAST(((2 * ruins * 10000 + n) // (2 * n)) / 10000.0 AS DECIMAL(5,4)) AS taxa_rejeicao
+  FROM lotes
+  LEFT JOIN (SELECT lote_data, entidade, unnest(motivos) AS m FROM julgadas) USING (lote_data, entidade)
+  GROUP BY lote_data, entidade, m, n, ruins
 )"""
 
 BASE = ",".join([RAW, _typed(), _validated()])
@@ -368,6 +353,46 @@ fundido AS (
 )"""
 _MERGE_CTES = ",".join([BASE, MARTS, _EARLIER, _MERGED])
 
+#: What must not reach the fact, by the reason it is known under.
+_FACT_FAULTS = {
+    "nulo_obrigatorio": "concat_ws('', aposta_id, '') = '' OR apostador_id IS NULL OR evento_id IS NULL"
+    " OR data_aposta IS NULL OR status IS NULL",
+    "valor_nao_positivo": "NOT valor_apostado > 0",
+    "premio_negativo": "premio_pago < 0",
+    "premio_inconsistente": "premio_pago <> 0 AND status IN ('perdida','pendente','cancelada')",
+    "status_invalido": "status NOT IN ('ganha','perdida','pendente','cancelada')",
+    "data_posterior_ao_evento": "data_aposta > data_evento",
+}
+#: Relations that a probe looks at, and their columns that add up.
+_PROBED = {
+    "raw_apostas": ("raw_apostas", ()),
+    "fct_apostas": ("fct_apostas", ("valor_apostado", "odd", "premio_pago", "resultado_casa")),
+    "agg_ggr_diario_esporte": (
+        "agg_ggr",
+        ("total_apostado", "premios_pagos", "ggr", "exposicao_pendente", "qtd_apostas_resolvidas"),
+    ),
+    "agg_engajamento_diario": ("agg_engajamento", ("volume_apostado", "apostadores_ativos", "qtd_apostas")),
+    "agg_financeiro_diario": (
+        "agg_financeiro",
+        ("total_depositado", "total_sacado", "liquido", "qtd_depositos", "qtd_saques"),
+    ),
+    "agg_qualidade_lote": (
+        "agg_qualidade",
+        ("qtd_recebidos", "qtd_aceitos", "qtd_rejeitados", "qtd_rejeitados_distintos"),
+    ),
+}
+
+
+def _probes() -> str:
+    parts = []
+    for table, (relation, columns) in _PROBED.items():
+        parts.append(f"SELECT '{table}' AS tabela, 'linhas' AS medida, count(*)::DECIMAL(22,2) AS valor FROM {relation}")
+        parts += [
+            f"SELECT '{table}', '{c}', coalesce(sum({c}), 0)::DECIMAL(22,2) FROM {relation}" for c in columns
+        ]
+    return " UNION ALL ".join(parts)
+
+
 _ENTITY_LIST = ("apostadores", "eventos", "apostas", "transacoes")
 _CARRIED = {"apostas": ", esporte, data_evento"}
 
@@ -595,16 +620,10 @@ def core_oracle() -> dict[str, str]:
             " FROM agg_financeiro WHERE total_sacado <> 0"
         ),
         "t_no_invalid": q(
-            "SELECT aposta_id, 'valor_nao_positivo' AS violacao FROM tip_apostas WHERE valor_apostado <= 0"
-            " UNION ALL SELECT aposta_id, 'premio_negativo' FROM tip_apostas WHERE premio_pago < 0"
-            " UNION ALL SELECT aposta_id, 'chave_nula' FROM tip_apostas WHERE aposta_id IS NULL"
-            " OR apostador_id IS NULL OR evento_id IS NULL OR data_aposta IS NULL OR status IS NULL"
-            " UNION ALL SELECT aposta_id, 'status_fora_do_dominio' FROM tip_apostas"
-            " WHERE status NOT IN ('ganha','perdida','pendente','cancelada')"
-            " UNION ALL SELECT aposta_id, 'premio_em_status_indevido' FROM tip_apostas"
-            " WHERE status IN ('perdida','pendente','cancelada') AND premio_pago <> 0"
-            " UNION ALL SELECT t.aposta_id, 'data_posterior_ao_evento' FROM tip_apostas t"
-            " JOIN tip_eventos e ON t.evento_id = e.evento_id WHERE t.data_aposta > e.data_evento"
+            "SELECT aposta_id, unnest(list_filter(["
+            + ", ".join(f"CASE WHEN {test} THEN '{kind}' END" for kind, test in _FACT_FAULTS.items())
+            + "], lambda v: v IS NOT NULL)) AS violacao"
+            " FROM tip_apostas LEFT JOIN (SELECT evento_id, data_evento FROM tip_eventos) USING (evento_id)"
         ),
         "t_quality_grain": q(
             "SELECT lote_data, entidade, motivo, 2 AS linhas FROM agg_qualidade WHERE entidade = 'apostas'"
@@ -660,22 +679,7 @@ def core_oracle() -> dict[str, str]:
             "SELECT DISTINCT motivo FROM agg_qualidade WHERE entidade = 'apostas'"
         ),
         "q_prefix": q("SELECT * FROM fct_apostas WHERE aposta_id LIKE '12%'"),
-        "q_state_probe": q(
-            "SELECT sonda, CAST(valor AS DECIMAL(22,2)) AS valor FROM ("
-            " SELECT 'raw_apostas' AS sonda, CAST(count(*) AS DECIMAL(22,2)) AS valor FROM raw_apostas"
-            " UNION ALL SELECT 'stg_apostas', count(*) FROM cln_apostas"
-            " UNION ALL SELECT 'quarentena', count(*) FROM quarentena"
-            " UNION ALL SELECT 'fct_linhas', count(*) FROM fct_apostas"
-            " UNION ALL SELECT 'fct_distintas', count(DISTINCT aposta_id) FROM fct_apostas"
-            " UNION ALL SELECT 'ggr_linhas', count(*) FROM agg_ggr"
-            " UNION ALL SELECT 'ggr_soma', coalesce(sum(ggr), 0) FROM agg_ggr"
-            " UNION ALL SELECT 'exposicao', coalesce(sum(exposicao_pendente), 0) FROM agg_ggr"
-            " UNION ALL SELECT 'volume', coalesce(sum(volume_apostado), 0) FROM agg_engajamento"
-            " UNION ALL SELECT 'ativos', coalesce(sum(apostadores_ativos), 0) FROM agg_engajamento"
-            " UNION ALL SELECT 'liquido', coalesce(sum(liquido), 0) FROM agg_financeiro"
-            " UNION ALL SELECT 'rejeitados', coalesce(sum(qtd_rejeitados_distintos), 0)"
-            " FROM agg_qualidade)"
-        ),
+        "q_state_probe": q(_probes()),
     }
     return texts
 
