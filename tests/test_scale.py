@@ -5,7 +5,9 @@ from conftest import LOT, RUN_AT
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from lotforge.functions.typing import type_rows
 from lotforge.model import BETS, ENTITIES
+from lotforge.operators import canonical
 from lotforge.plans.relations import Relations
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -60,6 +62,32 @@ def test_rows_without_key_are_combined_before_the_shuffle(spark, raw):
     assert found.where("not array_contains(motivos, 'duplicata')").count() == 1
 
 
+@pytest.mark.parametrize("crowd", [0, 100_000])
+def test_crowded_keys_are_marked_like_others(spark, monkeypatch, crowd):
+    monkeypatch.setattr(canonical, "_CROWD", crowd)
+    typed = type_rows(skewed(spark, 3000), BETS)
+    kept = canonical.mark_superseded(typed, typed, BETS).where("not superada")
+    found = {r.aposta_id: r.linha_origem for r in kept.collect()}
+    assert kept.count() == len(found) == 2001
+    assert found == {"hot": 2997} | {str(n): n for n in range(3000) if n % 3}
+
+
+def test_a_winner_listed_twice_wins_twice_and_a_row_without_identity_never(spark):
+    typed = type_rows(skewed(spark, 3), BETS)
+    twice = typed.unionByName(typed).unionByName(typed.withColumn("linha_origem", F.lit(None).cast("long")))
+    marked = canonical.mark_superseded(twice, twice, BETS)
+    assert marked.where("not superada").groupBy("aposta_id").count().where("count = 2").count() == 3
+    assert marked.where("linha_origem is null and not superada").count() == 0
+
+
+def test_bets_are_shuffled_once_a_step_and_parents_are_never_broadcast(spark):
+    """By key for the version and once for each parent, whatever the size of the parents."""
+    text = plan(entry.queries()["agg_qualidade_lote"](spark, SF_DIR))
+    assert text.count("ShuffledHashJoin") >= 3 and "BroadcastHashJoin [_busca" not in text
+    bets = plan(entry.queries()["validate_apostas"](spark, SF_DIR))
+    assert "ShuffledHashJoin [_busca_apostador_id" in bets and "ShuffledHashJoin [_busca_evento_id" in bets
+
+
 def test_versions_are_limited_in_each_map_task(spark):
     text = plan(entry.queries()["window_versao_apostas"](spark, SF_DIR))
     assert "row_number(), 1, Partial" in text and "row_number(), 1, Final" in text
