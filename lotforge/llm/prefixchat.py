@@ -8,11 +8,11 @@ as the only text under the loss mask. A turn is written as
 where each of the characters \\ < > of a role or a text has a backslash before it, so that no text
 can hold a marker, and taking the backslashes away again gives the text back.
 
-Contexts of one conversation are prefixes of each other. They are kept once: the formatted turns of
-a conversation in a row are its stream, and the text of an example is the stream up to the end of
-its last turn. `expand` therefore returns one row per turn, with the example that the turn ends, if
-it ends one; a conversation of n turns is n rows, not the n^2 / 2 turns that copied contexts hold.
-`texts` writes the copies out where a trainer wants flat strings.
+`expand` writes every example out: its text is the whole prefix and the target. Contexts of one
+conversation are prefixes of each other, so the texts grow with the square of its turns. They are
+therefore made in tasks from the turns in order, with one prefix and a few megabytes of examples in
+memory, and never shuffled: `digests` cuts from every text the turns that no earlier example of the
+conversation ends with, and only those are dealt by conversation.
 
 A conversation that does not end with an assistant turn gets one more example over all its turns
 with an empty mask, so that nothing is lost in the formatted output. Places and offsets are summed
@@ -38,6 +38,9 @@ from pyspark.sql.window import Window
 TRAINED = "assistant"
 #: Turn numbers in a block, as a power of two.
 _BLOCK = 8
+#: Characters of examples that a task holds before it passes them on.
+_HELD = 4_000_000
+_END = "</turn>\n"
 _TURN = re.compile(r"<turn ((?:\\.|[^\\<>])*)>((?:\\.|[^\\<>])*)</turn>\n", re.DOTALL)
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
@@ -50,7 +53,7 @@ def unescaped(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
-def expand(conversations: DataFrame) -> DataFrame:
+def segments(conversations: DataFrame) -> DataFrame:
     """One row per turn: conv_id, place (from 0), segment (the formatted turn), start (code points
     of the stream before it) and, where the turn ends an example, its number from 0, the loss
     mask loss_start to loss_end in the example's text, and that text's length n_chars."""
@@ -112,36 +115,71 @@ def expand(conversations: DataFrame) -> DataFrame:
     )
 
 
-def texts(expanded: DataFrame) -> DataFrame:
-    """Flat examples: conv_id, example, text, loss_start, loss_end. Copies every context, so the
-    output grows with the square of a conversation's turns."""
-    ends = expanded.where("example is not null").select(
-        F.col("conv_id").alias("_conv"), F.col("place").alias("_last"), "example", "loss_start", "loss_end"
-    )
-    turns = expanded.select("conv_id", "place", "segment")
-    both = turns.join(ends, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("place") <= F.col("_last")))
-    parts = F.array_sort(F.collect_list(F.struct("place", "segment")))
-    return both.groupBy("conv_id", "example", "loss_start", "loss_end").agg(
-        F.array_join(F.transform(parts, lambda part: part["segment"]), "").alias("text")
+EXAMPLE = pa.schema(
+    [
+        ("conv_id", pa.int64()),
+        ("example", pa.int64()),
+        ("text", pa.string()),
+        ("loss_start", pa.int64()),
+        ("loss_end", pa.int64()),
+        ("n_chars", pa.int64()),
+    ]
+)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+
+def _written_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Examples of turns that come in order, conversation by conversation."""
+    names = ("place", "segment", "conv_id", "example", "loss_start", "loss_end", "n_chars")
+    prefix, done, held = "", [], 0
+    for batch in batches:
+        for place, segment, conv_id, example, *spans in zip(*(batch.column(c).to_pylist() for c in names)):
+            prefix = prefix + segment if place else segment
+            if example is None:
+                continue
+            done.append((conv_id, example, prefix, *spans))
+            held += len(prefix)
+            if held > _HELD:
+                yield _batch(done, EXAMPLE)
+                done, held = [], 0
+    if done:
+        yield _batch(done, EXAMPLE)
+
+
+def expand(conversations: DataFrame) -> DataFrame:
+    """One row per example: conv_id, example (from 0), text (all turns before, and the target), the
+    loss mask loss_start to loss_end in it, and its length n_chars."""
+    ordered = segments(conversations).repartition("conv_id").sortWithinPartitions("conv_id", "place")
+    return ordered.mapInArrow(
+        _written_out, "conv_id long, example long, text string, loss_start long, loss_end long, n_chars long"
     )
 
 
+def texts(expanded: DataFrame) -> DataFrame:
+    """Flat examples: conv_id, example, text, loss_start, loss_end."""
+    return expanded.select("conv_id", "example", "text", "loss_start", "loss_end")
+
+
 class _Digest:
-    """What is read back from the formatted turns and examples of one conversation, in order."""
+    """What is read back from the examples of one conversation, in order."""
 
     def __init__(self, conv_id: int | None):
         self.conv_id, self.turns, self.examples, self.loss, self.formatted = conv_id, 0, 0, 0, 0
         self.all, self.masked = hashlib.sha256(), hashlib.sha256()
 
-    def add(self, segment: str, start: int, loss_start: int | None, loss_end: int | None, chars: int | None) -> None:
-        written = _TURN.fullmatch(segment)
-        self.turns += 1
-        self.all.update("".join(unescaped(x) + "\n" for x in written.groups()).encode())
-        if chars is None:
-            return
+    def add(self, tail: str, masked: str, chars: int) -> None:
+        at = 0
+        while at < len(tail):
+            written = _TURN.match(tail, at)
+            at = written.end()
+            self.turns += 1
+            self.all.update("".join(unescaped(x) + "\n" for x in written.groups()).encode())
         self.examples += 1
         self.formatted += chars
-        masked = unescaped(segment[loss_start - start : loss_end - start])
+        masked = unescaped(masked)
         self.loss += len(masked)
         self.masked.update(masked.encode())
 
@@ -163,31 +201,43 @@ DIGEST = pa.schema(
 
 
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def table(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), DIGEST.types)], schema=DIGEST)
-
-    names = ("conv_id", "segment", "start", "loss_start", "loss_end", "n_chars")
+    names = ("conv_id", "tail", "masked", "n_chars")
     open_ = None
     for batch in batches:
         done = []
-        for conv_id, *turn in zip(*(batch.column(c).to_pylist() for c in names)):
+        for conv_id, *example in zip(*(batch.column(c).to_pylist() for c in names)):
             if open_ is None or open_.conv_id != conv_id:
                 done += [open_.row()] if open_ else []
                 open_ = _Digest(conv_id)
-            open_.add(*turn)
+            open_.add(*example)
         if done:
-            yield table(done)
+            yield _batch(done, DIGEST)
     if open_:
-        yield table([open_.row()])
+        yield _batch([open_.row()], DIGEST)
+
+
+def _tail() -> Column:
+    """The turns of an example's text after the last earlier target of its conversation.
+
+    No text or role holds a bare < or >, so a line feed and a whole opening mark are a turn's start.
+    """
+    lined = F.concat(F.lit("\n"), F.col("text"))
+    mark = f"'\\n<turn {TRAINED}>'"
+    rest = F.expr(f"substring_index('\\n' || text, {mark}, if(loss_end < n_chars, -2, -1))")
+    after = F.substring_index(rest, _END, 1)
+    beyond = F.substr(rest, F.length(after) + len(_END) + 1)
+    return F.when(F.length(rest) == F.length(lined), F.col("text")).otherwise(beyond)
 
 
 def digests(expanded: DataFrame) -> DataFrame:
-    """One row per conversation, read back from the formatted output: number of turns, hash of all
-    roles and texts, length and hash of all text under the loss masks, length of all examples.
+    """One row per conversation, read back from the texts of its examples: number of turns, hash of
+    all roles and texts, length and hash of all text under the loss masks, length of all examples.
 
     The turns of a conversation stream through one task in order, because a hash over all of them
     can't be made in parts; no more than a batch of them is in memory."""
-    ordered = expanded.repartition("conv_id").sortWithinPartitions("conv_id", "place")
+    masked = F.substr(F.col("text"), F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start"))
+    parts = expanded.select("conv_id", "example", _tail().alias("tail"), masked.alias("masked"), F.length("text").cast("long").alias("n_chars"))
+    ordered = parts.repartition("conv_id").sortWithinPartitions("conv_id", "example")
     return ordered.mapInArrow(
         _read_back,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_examples long",

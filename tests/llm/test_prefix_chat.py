@@ -82,3 +82,18 @@ def test_empty_table_and_all_conversations(spark):
     assert differences(result, connect(SF), ORACLE["op11_prefix_chat"]) is None
     got = {r["conv_id"]: r["turns_sha256"] for r in result.collect()}
     assert got[-7] == sha(f"user\n{TRICK}\nassistant\n{TRICK}\n")
+
+
+def test_expand_writes_prefix_and_target_of_every_example(spark):
+    expected = written(TURNS + HOT)
+    rows = expand(frame(spark, TURNS + HOT)).collect()
+    got = {(r["conv_id"], r["example"]): (r["text"], r["loss_start"], r["loss_end"]) for r in rows}
+    assert len(rows) == len(got)
+    assert got == {(conv, i): x for conv, (_, examples) in expected.items() for i, x in enumerate(examples)}
+    assert all(r["n_chars"] == len(r["text"]) for r in rows)
+
+
+def test_digests_come_from_the_texts(spark):
+    examples = expand(frame(spark, [(1, 0, "user", "a"), (1, 1, "assistant", "b")]))
+    other = examples.selectExpr("conv_id", "example", "replace(text, '>b<', '>c<') AS text", "loss_start", "loss_end", "n_chars")
+    assert digests(other).first()["loss_sha256"] == sha("c")
