@@ -118,12 +118,15 @@ def plan(
 
 
 def repetitions(docs: DataFrame, planned: DataFrame, seed: int = 0) -> DataFrame:
-    """`docs` (with doc_id, source, size) plus source_size, target and times."""
+    """`docs` (with doc_id, source, size) plus source_size, target and times.
+
+    `planned` has a row per source and is sent to the documents: dealt by source, the whole texts
+    of a large one would meet in a task."""
     mine = F.struct(_key(seed).alias("key"), "doc_id", "size")
     more = F.coalesce(mine <= F.col("last"), F.lit(False)).cast("int")
     plain = planned.withColumnRenamed("source", "_source")
     return (
-        docs.join(plain, F.col("source").eqNullSafe(F.col("_source")))
+        docs.join(F.broadcast(plain), F.col("source").eqNullSafe(F.col("_source")))
         .withColumn("times", F.col("whole") + more)
         .drop("_source", "weight", "whole", "last")
     )
