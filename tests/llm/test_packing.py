@@ -4,7 +4,9 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
+from lotforge.llm import lingroup
 from lotforge.llm.lingroup import WordIds, linear_grouping, pack, word_vocabulary
 from lotforge.llm.queries import queries
 
@@ -80,3 +82,27 @@ def test_ids_of_parts_are_those_of_the_text():
     texts += ["".join(draw.choice(words) + draw.choice([" ", "", ","]) for _ in range(5)) for _ in range(1000)]
     for text in texts:
         assert ids.text(text) == ids.encode(text), text
+
+
+def test_the_pipeline_sends_texts_in_small_batches(spark, monkeypatch):
+    large, seen = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    cut = lingroup._cut
+
+    def watched(*how):
+        inner = cut(*how)
+
+        def run(batches):
+            def noted():
+                for batch in batches:
+                    seen.add(batch.num_rows)
+                    large.add(int(batch.nbytes > 3_000_000))
+                    yield batch
+
+            yield from inner(noted())
+
+        return run
+
+    monkeypatch.setattr(lingroup, "_cut", watched)
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 1000) AS text")
+    assert corpus_pipeline.pack_sequences(spark, docs, SF).count() == 4000
+    assert (seen.value, large.value) == (4000, 0)
