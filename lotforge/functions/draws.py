@@ -6,12 +6,15 @@ drawn for another row can be recomputed instead of joined.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Bits of a word, as hexadecimal digits of a digest, and words that one digest gives.
 DIGITS, SLOTS = 15, 2
-_RANGE = 1 << (4 * DIGITS)
+#: Half the bits of a word; products of halves fit a long.
+_HALF = 2 * DIGITS
 
 
 def scaled(word: Column, bound: int | Column) -> Column:
@@ -19,9 +22,16 @@ def scaled(word: Column, bound: int | Column) -> Column:
 
     Every number is as likely as any other but for one part in 2^60 / bound.
     """
-    limit = F.lit(bound) if isinstance(bound, int) else bound
-    product = word.cast("decimal(19,0)") * limit.cast("decimal(18,0)")
-    return F.call_function("div", product, F.lit(_RANGE).cast("decimal(19,0)"))
+    limit = F.lit(bound).cast("bigint") if isinstance(bound, int) else bound.cast("bigint")
+    if isinstance(bound, int) and 0 <= bound < 1 << (63 - 2 * _HALF):
+        return F.shiftright(word * limit, 2 * _HALF)
+    low = (1 << _HALF) - 1
+    above, below = F.shiftright(word, _HALF), word.bitwiseAND(low)
+    if isinstance(bound, int) and 0 <= bound <= low:
+        return F.shiftright(above * limit + F.shiftright(below * limit, _HALF), _HALF)
+    high, rest = F.shiftright(limit, _HALF), limit.bitwiseAND(low)
+    middle = above * rest + below * high + F.shiftright(below * rest, _HALF)
+    return above * high + F.shiftright(middle, _HALF)
 
 
 class Draws:
@@ -46,7 +56,7 @@ class Draws:
     def cents(self, number: int, low: int, high: int, kind: str) -> Column:
         """A two-decimal amount between two bounds given in cents."""
         amount = self.between(number, low, high).cast("decimal(14,0)")
-        return (amount / 100).cast(kind)
+        return (amount * F.lit(Decimal("0.01"))).cast(kind)
 
     def pick(self, number: int, values: tuple[str, ...]) -> Column:
         options = F.array(*map(F.lit, values))
